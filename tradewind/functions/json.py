@@ -7,6 +7,16 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tradewind.schemas import as_text
 
 
+def once(df: DataFrame, name: str, expression: Column, *keep: str) -> DataFrame:
+    """`keep` columns and a costly expression that is worked out once per row, whatever reads it.
+
+    A filter on a projected column is pushed below the projection with a copy of its expression for
+    every use. It is not pushed below a generator, so a one-element explode keeps a JSON parse single.
+    """
+    computed = df.select(*keep, expression.alias(name))
+    return computed.select(*keep, F.explode(F.array(name)).alias(name))
+
+
 def typed_fields(parsed: str, schema: T.StructType) -> list[Column]:
     """Cast the string fields of struct column `parsed` to `schema`; what does not fit becomes null."""
     return [F.col(f"{parsed}.{f.name}").try_cast(f.dataType).alias(f.name) for f in schema.fields]
@@ -14,7 +24,7 @@ def typed_fields(parsed: str, schema: T.StructType) -> list[Column]:
 
 def read_records(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Messages holding one flat JSON object each -> typed rows; text that is no object is dropped."""
-    parsed = messages.select(F.from_json(value, as_text(schema)).alias("_record"))
+    parsed = once(messages, "_record", F.from_json(value, as_text(schema)))
     return parsed.where(F.col("_record").isNotNull()).select(*typed_fields("_record", schema))
 
 

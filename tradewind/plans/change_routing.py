@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradewind import names
+from tradewind.functions.json import once
 from tradewind.operators.keyed import latest_per_key
 from tradewind.schemas import CDC_EVENT
 
@@ -23,9 +24,9 @@ def operation(change_type: Column) -> Column:
 
 def parse(messages: DataFrame, value: str = "value", offset: str | None = "offset") -> DataFrame:
     """table, type, op, ts, offset and the row image `data` as JSON text; op is null for other types."""
-    event = messages.select(
-        F.from_json(value, CDC_EVENT).alias("event"),
-        (F.col(offset) if offset else F.lit(0)).cast("bigint").alias("offset"))
+    position = (F.col(offset) if offset else F.lit(0)).cast("bigint").alias("offset")
+    event = once(messages.select(F.col(value).alias("value"), position), "event",
+                 F.from_json("value", CDC_EVENT), "offset")
     return event.select(
         F.col("event.table").alias("table"), F.col("event.type").alias("type"),
         operation(F.col("event.type")).alias("op"),

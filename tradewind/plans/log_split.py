@@ -7,9 +7,12 @@ dead letters, where the batch would otherwise fail.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tradewind import names
+from tradewind.functions.json import once
 from tradewind.schemas import PAGE_ACTION_LOG, PAGE_DISPLAY_LOG, PAGE_LOG, RAW_LOG, START_LOG
 
 # Where each output field is found in the raw record, relative to the part named.
@@ -25,105 +28,85 @@ START = {"entry": "entry", "open_ad_id": "open_ad_id", "loading_time_ms": "loadi
          "open_ad_ms": "open_ad_ms", "open_ad_skip_ms": "open_ad_skip_ms"}
 
 
-def parse(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Each line with its record and the route it takes: error, split or dead."""
-    rec = F.from_json(value, RAW_LOG, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    parsed = lines.select(F.col(value).alias("value"), rec.alias("rec"))
-    is_object = F.coalesce(F.ltrim("value").startswith("{"), F.lit(False))
-    readable = is_object & F.col("rec").isNotNull() & F.col("rec._corrupt_record").isNull()
-    complete = F.col("rec.common").isNotNull() & F.col("rec.ts").try_cast("bigint").isNotNull()
-    route = (F.when(~readable, "dead")
-             .when(F.col("rec.err").isNotNull(), "error")
-             .when(complete, "split").otherwise("dead"))
-    return parsed.select("value", "rec", route.alias("route"))
-
-
-def _fields(schema, parts) -> list[Column]:
-    """Output columns in the schema's order; `parts` are (field map, accessor) pairs."""
-    found = {"ts": F.col("rec.ts")}
-    for mapping, part in parts:
-        found.update({out: part[source] for out, source in mapping.items()})
-    return [found[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]
-
-
-def _common() -> tuple[dict, Column]:
-    return COMMON, F.col("rec.common")
-
-
-def _page() -> tuple[dict, Column]:
-    return PAGE, F.col("rec.page")
-
+_READABLE = "coalesce(ltrim(value) LIKE '{%', false) AND rec IS NOT NULL AND rec._corrupt_record IS NULL"
+_COMPLETE = "rec.common IS NOT NULL AND try_cast(rec.ts AS BIGINT) IS NOT NULL"
+_ROUTE = f"""CASE WHEN NOT ({_READABLE}) THEN 'dead' WHEN rec.err IS NOT NULL THEN 'error'
+             WHEN {_COMPLETE} THEN 'split' ELSE 'dead' END"""
 
-def _page_fields() -> list[Column]:
-    return _fields(PAGE_LOG, [_common(), _page()])
-
-
-def _display_fields(display: Column) -> list[Column]:
-    return _fields(PAGE_DISPLAY_LOG, [_common(), _page(), (DISPLAY, display)])
 
+def parse(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Each line with its record and the route it takes: error, split or dead."""
+    rec = F.from_json("value", RAW_LOG, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = once(lines.select(F.col(value).alias("value")), "rec", rec, "value")
+    return parsed.selectExpr("value", "rec", f"{_ROUTE} AS route")
 
-def _action_fields(action: Column) -> list[Column]:
-    return _fields(PAGE_ACTION_LOG, [_common(), _page(), (ACTION, action)])
 
+def _fields(schema: T.StructType, *parts: tuple[Mapping[str, str], str]) -> list[str]:
+    """Output columns in the schema's order; `parts` are field maps with the struct they read from."""
+    found = {"ts": "rec.ts"}
+    for mapping, part in parts:
+        found.update({out: f"{part}.`{source}`" for out, source in mapping.items()})
+    return [f"try_cast({found[f.name]} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields]
 
-def _start_fields() -> list[Column]:
-    return _fields(START_LOG, [_common(), (START, F.col("rec.start"))])
 
+_ON_PAGE = (COMMON, "rec.common"), (PAGE, "rec.page")
+_PAGE_FIELDS = _fields(PAGE_LOG, *_ON_PAGE)
+_DISPLAY_FIELDS = _fields(PAGE_DISPLAY_LOG, *_ON_PAGE, (DISPLAY, "display"))
+_ACTION_FIELDS = _fields(PAGE_ACTION_LOG, *_ON_PAGE, (ACTION, "action"))
+_START_FIELDS = _fields(START_LOG, (COMMON, "rec.common"), (START, "rec.start"))
 
-def _pages(parsed: DataFrame) -> DataFrame:
-    return parsed.where((F.col("route") == "split") & F.col("rec.page").isNotNull())
+_HAS_PAGE = "route = 'split' AND rec.page IS NOT NULL"
+_HAS_START = "route = 'split' AND rec.start IS NOT NULL"
 
 
 def error_log(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("route") == "error").select("value")
+    return parsed.where("route = 'error'").select("value")
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("route") == "dead").select("value")
+    return parsed.where("route = 'dead'").select("value")
 
 
 def page_log(parsed: DataFrame) -> DataFrame:
-    return _pages(parsed).select(*_page_fields())
+    return parsed.where(_HAS_PAGE).selectExpr(*_PAGE_FIELDS)
 
 
 def display_log(parsed: DataFrame) -> DataFrame:
-    shown = _pages(parsed).select("rec", F.explode("rec.displays").alias("display"))
-    return shown.where(F.col("display").isNotNull()).select(*_display_fields(F.col("display")))
+    shown = parsed.where(_HAS_PAGE).selectExpr("rec", "explode(rec.displays) AS display")
+    return shown.where("display IS NOT NULL").selectExpr(*_DISPLAY_FIELDS)
 
 
 def action_log(parsed: DataFrame) -> DataFrame:
-    done = _pages(parsed).select("rec", F.explode("rec.actions").alias("action"))
-    return done.where(F.col("action").isNotNull()).select(*_action_fields(F.col("action")))
+    done = parsed.where(_HAS_PAGE).selectExpr("rec", "explode(rec.actions) AS action")
+    return done.where("action IS NOT NULL").selectExpr(*_ACTION_FIELDS)
 
 
 def start_log(parsed: DataFrame) -> DataFrame:
-    started = parsed.where((F.col("route") == "split") & F.col("rec.start").isNotNull())
-    return started.select(*_start_fields())
+    return parsed.where(_HAS_START).selectExpr(*_START_FIELDS)
 
 
 def split_messages(parsed: DataFrame, suffix: str = names.TOPIC_SUFFIX) -> DataFrame:
     """All outputs in one pass over the log: rows of (topic, value), each log line parsed once."""
 
-    def message(base: str, value: Column) -> Column:
-        return F.struct(F.lit(names.topic(base, suffix)).alias("topic"), value.alias("value"))
-
-    def json(fields: list[Column]) -> Column:
-        return F.to_json(F.struct(*fields))
-
-    none = F.array().cast("array<struct<topic:string,value:string>>")
-    page, start = F.col("rec.page").isNotNull(), F.col("rec.start").isNotNull()
-
-    def each(items: str, base: str, fields) -> Column:
-        present = F.filter(F.col(items), lambda item: item.isNotNull())
-        made = F.transform(present, lambda item: message(base, json(fields(item))))
-        return F.when(page & F.col(items).isNotNull(), made).otherwise(none)
-
-    split = F.concat(
-        F.when(page, F.array(message(names.PAGE_TOPIC, json(_page_fields())))).otherwise(none),
-        each("rec.displays", names.DISPLAY_TOPIC, _display_fields),
-        each("rec.actions", names.ACTION_TOPIC, _action_fields),
-        F.when(start, F.array(message(names.START_TOPIC, json(_start_fields())))).otherwise(none))
-    messages = (F.when(F.col("route") == "error", F.array(message(names.ERROR_TOPIC, F.col("value"))))
-                .when(F.col("route") == "dead", F.array(message(names.DEAD_LETTER_TOPIC, F.col("value"))))
-                .otherwise(split))
-    return parsed.select(F.inline(messages))
+    def message(base: str, value: str) -> str:
+        return f"struct('{names.topic(base, suffix)}' AS topic, {value} AS value)"
+
+    def json(fields: list[str]) -> str:
+        return f"to_json(struct({', '.join(fields)}))"
+
+    def one(condition: str, base: str, value: str) -> str:
+        return f"CASE WHEN {condition} THEN array({message(base, value)}) ELSE array() END"
+
+    def each(items: str, item: str, base: str, fields: list[str]) -> str:
+        present = f"filter({items}, i -> i IS NOT NULL)"
+        return (f"CASE WHEN {_HAS_PAGE} AND {items} IS NOT NULL "
+                f"THEN transform({present}, {item} -> {message(base, json(fields))}) ELSE array() END")
+
+    outputs = [
+        one(_HAS_PAGE, names.PAGE_TOPIC, json(_PAGE_FIELDS)),
+        each("rec.displays", "display", names.DISPLAY_TOPIC, _DISPLAY_FIELDS),
+        each("rec.actions", "action", names.ACTION_TOPIC, _ACTION_FIELDS),
+        one(_HAS_START, names.START_TOPIC, json(_START_FIELDS)),
+        one("route = 'error'", names.ERROR_TOPIC, "value"),
+        one("route = 'dead'", names.DEAD_LETTER_TOPIC, "value")]
+    return parsed.selectExpr(f"inline(concat({', '.join(outputs)}))")

@@ -9,9 +9,10 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tradewind.functions.json import once
 from tradewind.functions.time import DATETIME
 from tradewind.schemas import ORDER_DETAIL, ORDER_INFO_SOURCE
-from tradewind.sources.relational import read_parquet_table
+from tradewind.sources.relational import read_parquet_table, spread_small
 
 AS_OF = datetime.date(2024, 6, 30)
 
@@ -32,46 +33,36 @@ def _mod(column: str, by: int) -> Column:
     return F.col(column) % by
 
 
-def _millis(ts: Column) -> Column:
-    return F.unix_millis(ts.cast("timestamp"))
+# The raw log line of FIXTURES.md F1, as a struct over (event_id, user_id, event_type, tsm, k, v100).
+_LINE = """struct(
+    struct(string(user_id % 25) AS ar, string(user_id) AS uid, 'os_' || event_id % 2 AS os,
+           'ch_' || event_id % 3 AS ch, string(event_id % 2) AS is_new, 'model_' || event_id % 7 AS md,
+           'mid_' || user_id AS mid, 'v2.' || event_id % 4 AS vc, 'brand_' || event_id % 5 AS ba) AS common,
+    tsm AS ts,
+    CASE WHEN event_type = 'error' THEN struct(1000 + k AS error_code, 'e' AS msg) END AS err,
+    CASE WHEN event_type = 'signup' THEN
+        struct('entry_' || event_id % 3 AS entry, v100 AS loading_time, string(k) AS open_ad_id,
+               k * 10 AS open_ad_ms, k * 3 AS open_ad_skip_ms) END AS start,
+    CASE WHEN event_type <> 'signup' THEN
+        struct(event_type AS page_id, string(k) AS item, 'sku_id' AS item_type, v100 AS during_time,
+               CASE WHEN event_id % 3 <> 0 THEN 'home' END AS last_page_id,
+               'src_' || event_id % 4 AS source_type) END AS page,
+    CASE WHEN event_type <> 'signup' THEN
+        transform(slice(array(0, 1, 2), 1, int(event_id % 4)), i ->
+            struct('promotion' AS display_type, string(k + i) AS item, 'sku_id' AS item_type,
+                   string(i) AS pos_id, string(i + 1) AS `order`)) END AS displays,
+    CASE WHEN event_type <> 'signup' THEN
+        transform(slice(array(0, 1), 1, int(event_id % 3)), i ->
+            struct('act_' || i AS action_id, string(k) AS item, 'sku_id' AS item_type,
+                   tsm + i * 1000 AS ts)) END AS actions)"""
 
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON log line per event."""
-    events = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", _millis(F.col("ts")).alias("tsm"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        F.round(F.col("value") * 100).cast("bigint").alias("v100"))
-    kind, k = F.col("event_type"), F.col("k")
-    on_page = kind.isin("view", "click", "purchase", "error")
-
-    def items(count: Column, item) -> Column:
-        return F.when(on_page, F.transform(F.slice(F.array(*[F.lit(i) for i in range(3)]), 1, count), item))
-
-    common = F.struct(
-        _text(_mod("user_id", 25)).alias("ar"), _text(F.col("user_id")).alias("uid"),
-        _tagged("os_", _mod("event_id", 2)).alias("os"), _tagged("ch_", _mod("event_id", 3)).alias("ch"),
-        _text(_mod("event_id", 2)).alias("is_new"), _tagged("model_", _mod("event_id", 7)).alias("md"),
-        _tagged("mid_", F.col("user_id")).alias("mid"), _tagged("v2.", _mod("event_id", 4)).alias("vc"),
-        _tagged("brand_", _mod("event_id", 5)).alias("ba"))
-    err = F.when(kind == "error", F.struct((k + 1000).alias("error_code"), F.lit("e").alias("msg")))
-    start = F.when(kind == "signup", F.struct(
-        _tagged("entry_", _mod("event_id", 3)).alias("entry"), F.col("v100").alias("loading_time"),
-        _text(k).alias("open_ad_id"), (k * 10).alias("open_ad_ms"), (k * 3).alias("open_ad_skip_ms")))
-    page = F.when(on_page, F.struct(
-        kind.alias("page_id"), _text(k).alias("item"), F.lit("sku_id").alias("item_type"),
-        F.col("v100").alias("during_time"),
-        F.when(_mod("event_id", 3) != 0, "home").alias("last_page_id"),
-        _tagged("src_", _mod("event_id", 4)).alias("source_type")))
-    displays = items(_mod("event_id", 4).cast("int"), lambda i: F.struct(
-        F.lit("promotion").alias("display_type"), _text(k + i).alias("item"),
-        F.lit("sku_id").alias("item_type"), _text(i).alias("pos_id"), _text(i + 1).alias("order")))
-    actions = items(_mod("event_id", 3).cast("int"), lambda i: F.struct(
-        F.concat(F.lit("act_"), _text(i)).alias("action_id"), _text(k).alias("item"),
-        F.lit("sku_id").alias("item_type"), (F.col("tsm") + i * 1000).alias("ts")))
-    line = F.struct(common.alias("common"), F.col("tsm").alias("ts"), err.alias("err"), start.alias("start"),
-                    page.alias("page"), displays.alias("displays"), actions.alias("actions"))
-    return events.select(F.to_json(line).alias("value"))
+    events = spread_small(table(spark, sf_dir, "events")).selectExpr(
+        "event_id", "user_id", "event_type", "unix_millis(CAST(ts AS TIMESTAMP)) AS tsm",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k", "CAST(round(value * 100) AS BIGINT) AS v100")
+    return once(events, "value", F.to_json(F.expr(_LINE)))
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,12 +98,12 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         "coupon_reduce_amount": zero, "original_total_amount": F.col("o_totalprice"),
         "feight_fee": zero, "feight_fee_reduce": zero, "expire_time": none, "refundable_time": none,
         "create_time": _datetime_text(_create_seconds()), "operate_time": none}
-    return table(spark, sf_dir, "orders").select(
+    return spread_small(table(spark, sf_dir, "orders")).select(
         *[fields[f.name].cast(f.dataType).alias(f.name) for f in ORDER_INFO_SOURCE.fields])
 
 
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_small(table(spark, sf_dir, "lineitem"))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     created = table(spark, sf_dir, "orders").select("o_orderkey", _create_seconds().alias("order_seconds"))
     joined = (lines.join(parts, lines.l_partkey == parts.p_partkey)
@@ -144,7 +135,7 @@ def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .when(turn == 3, "bootstrap-start").otherwise("insert"))
         event = F.struct(kind.alias("type"), F.lit(name).alias("table"), F.lit(version).alias("ts"),
                          F.struct(*rows.columns).alias("data"))
-        return rows.select(F.to_json(event).alias("value"), F.lit(version).cast("bigint").alias("offset"))
+        return once(rows, "value", F.to_json(event)).withColumn("offset", F.lit(version).cast("bigint"))
 
     streams = [events("user_info", users.withColumn("gender", other), 1), events("user_info", users, 2),
                events("base_province", base_province(spark, sf_dir)),

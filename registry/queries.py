@@ -11,6 +11,8 @@ from tradewind.functions.json import read_records, write_records
 from tradewind.functions.text import highlight, matches_any
 from tradewind.functions.time import age_years
 from tradewind.operators import documents, records
+from tradewind.operators.dimensions import with_province, with_user
+from tradewind.operators.skew import hot_keys
 from tradewind.plans import change_routing, dau, log_split, orders, reports
 from tradewind.schemas import DAU_INFO, DAU_MAPPING, ORDER_DETAIL, ORDER_MAPPING, PAGE_LOG
 from tradewind.session import new_folder, tune
@@ -220,7 +222,7 @@ def alias_all_days(spark, sf_dir):
 @query
 def search_field(spark, sf_dir):
     """One field of all documents, read from the table as a single column."""
-    return documents.search_field(tables.read_versions(spark, _dau_table(spark, sf_dir), DAU_INFO), "mid")
+    return documents.search_field(jobs.read_dau(spark, _dau_table(spark, sf_dir)), "mid")
 
 
 @query
@@ -253,6 +255,21 @@ def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.order_wide(_orders(spark, sf_dir), derived.order_detail(spark, sf_dir))
 
 
+def _wide_with(spark: SparkSession, sf_dir: str, add: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Pairs with only the dimension that a report reads."""
+    return orders.order_wide(add(derived.order_info(spark, sf_dir)), derived.order_detail(spark, sf_dir))
+
+
+def _wide_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    users = derived.user_info(spark, sf_dir)
+    return _wide_with(spark, sf_dir, lambda rows: with_user(rows, users, F.lit(AS_OF), "int"))
+
+
+def _wide_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
+    provinces = derived.base_province(spark, sf_dir)
+    return _wide_with(spark, sf_dir, lambda rows: with_province(rows, provinces, "province_3166_2_code"))
+
+
 @query
 def order_enriched(spark, sf_dir):
     return _orders(spark, sf_dir)
@@ -260,7 +277,9 @@ def order_enriched(spark, sf_dir):
 
 @query
 def order_full_outer(spark, sf_dir):
-    joined = orders.full_outer(derived.order_info(spark, sf_dir), derived.order_detail(spark, sf_dir))
+    """Nothing splits a full outer join, so orders with very many lines are looked for first."""
+    hot = hot_keys(derived.table(spark, sf_dir, "lineitem"), "l_orderkey")
+    joined = orders.full_outer(derived.order_info(spark, sf_dir), derived.order_detail(spark, sf_dir), hot)
     return joined.select(F.col("id").alias("order_id"), F.col("d_id").alias("detail_id"),
                          "total_amount", "d_split_total_amount")
 
@@ -289,22 +308,23 @@ def order_mapping_cast(spark, sf_dir):
 
 @query
 def order_amount_by_gender(spark, sf_dir):
-    return reports.order_amount_by(_wide(spark, sf_dir), F.col("user_gender"), "user_gender")
+    return reports.order_amount_by(_wide_by_user(spark, sf_dir), F.col("user_gender"), "user_gender")
 
 
 @query
 def order_amount_by_age_band(spark, sf_dir):
-    return reports.order_amount_by(_wide(spark, sf_dir), reports.age_band(F.col("user_age")), "age_band")
+    return reports.order_amount_by(_wide_by_user(spark, sf_dir), reports.age_band(F.col("user_age")), "age_band")
 
 
 @query
 def order_amount_by_province(spark, sf_dir):
-    return reports.order_amount_by(_wide(spark, sf_dir), F.col("province_name"), "province_name")
+    return reports.order_amount_by(_wide_by_province(spark, sf_dir), F.col("province_name"), "province_name")
 
 
 @query
 def order_item_search(spark, sf_dir):
-    return reports.order_item_search(_wide(spark, sf_dir), "red ring", start=20, size=20)
+    items = _wide_with(spark, sf_dir, lambda rows: rows)
+    return reports.order_item_search(items, "red ring", start=20, size=20)
 
 
 @query
@@ -498,5 +518,5 @@ def stream_order_join(spark, sf_dir):
     topics.land(write_records(derived.order_info(spark, sf_dir)), order_topic)
     topics.land(write_records(derived.order_detail(spark, sf_dir), ORDER_DETAIL.fieldNames()), detail_topic)
     pairs = jobs.join_orders(topics.read_folder(spark, order_topic), topics.read_folder(spark, detail_topic), "1 day")
-    _run(spark, jobs.order_job(pairs, out, lambda s: _dims(s, sf_dir), AS_OF), "order-checkpoint")
-    return jobs.read_orders(spark, out)
+    _run(spark, jobs.order_job(pairs, out, lambda s: _dims(s, sf_dir), AS_OF, monthly=True), "order-checkpoint")
+    return jobs.read_orders(spark, out, monthly=True)

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     # Skewed join partitions are split even where that costs one more exchange downstream.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Many days of folders are listed by a bounded number of tasks.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Streaming state on local disk with incremental checkpoints, not on the executor heap.
     "spark.sql.streaming.stateStore.providerClass":

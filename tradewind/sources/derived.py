@@ -11,14 +11,29 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradewind.functions.json import once
 from tradewind.functions.time import DATETIME
-from tradewind.schemas import ORDER_DETAIL, ORDER_INFO_SOURCE
 from tradewind.sources.relational import read_parquet_table, spread_small
 
 AS_OF = datetime.date(2024, 6, 30)
 
 
+# Schemas of the given tables.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet_table(spark, sf_dir, name)
+    return read_parquet_table(spark, sf_dir, name, TABLES[name])
 
 
 def _text(column: Column) -> Column:
@@ -66,62 +81,50 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = ((F.col("c_custkey") * 7919) % 18000).cast("int")
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("id"),
-        F.when(_mod("c_custkey", 2) == 0, "M").otherwise("F").alias("gender"),
-        F.date_add(F.lit(datetime.date(1955, 1, 1)), days).alias("birthday"))
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id", "CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender",
+        "date_add(DATE '1955-01-01', int(c_custkey * 7919 % 18000)) AS birthday")
 
 
 def base_province(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = _text(F.col("n_nationkey"))
-    return table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"),
-        _text(F.col("n_regionkey")).alias("region_id"), F.lpad(key, 6, "0").alias("area_code"),
-        F.concat(F.lit("CN-"), key).alias("iso_code"), F.concat(F.lit("CN-N"), key).alias("iso_3166_2"))
-
-
-def _create_seconds() -> Column:
-    return F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + (F.col("o_orderkey") * 7919) % 86400
+    return table(spark, sf_dir, "nation").selectExpr(
+        "bigint(n_nationkey) AS id", "n_name AS name", "string(n_regionkey) AS region_id",
+        "lpad(string(n_nationkey), 6, '0') AS area_code", "'CN-' || n_nationkey AS iso_code",
+        "'CN-N' || n_nationkey AS iso_3166_2")
 
 
-def _datetime_text(seconds: Column) -> Column:
-    return F.date_format(F.timestamp_seconds(seconds), DATETIME)
+# An order is created at a second of its day that follows from its key.
+_CREATED = "unix_seconds(timestamp(o_orderdate)) + o_orderkey * 7919 % 86400"
 
 
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zero, none = F.lit(0.0), F.lit(None).cast("string")
-    fields = {
-        "id": F.col("o_orderkey"), "province_id": _mod("o_custkey", 25),
-        "order_status": F.col("o_orderstatus"), "user_id": F.col("o_custkey"),
-        "total_amount": F.col("o_totalprice"), "activity_reduce_amount": zero,
-        "coupon_reduce_amount": zero, "original_total_amount": F.col("o_totalprice"),
-        "feight_fee": zero, "feight_fee_reduce": zero, "expire_time": none, "refundable_time": none,
-        "create_time": _datetime_text(_create_seconds()), "operate_time": none}
-    return spread_small(table(spark, sf_dir, "orders")).select(
-        *[fields[f.name].cast(f.dataType).alias(f.name) for f in ORDER_INFO_SOURCE.fields])
+    return spread_small(table(spark, sf_dir, "orders")).selectExpr(
+        "o_orderkey AS id", "o_custkey % 25 AS province_id", "o_orderstatus AS order_status",
+        "o_custkey AS user_id", "o_totalprice AS total_amount", "0D AS activity_reduce_amount",
+        "0D AS coupon_reduce_amount", "o_totalprice AS original_total_amount", "0D AS feight_fee",
+        "0D AS feight_fee_reduce", "string(NULL) AS expire_time", "string(NULL) AS refundable_time",
+        f"date_format(timestamp_seconds({_CREATED}), '{DATETIME}') AS create_time",
+        "string(NULL) AS operate_time")
 
 
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spread_small(table(spark, sf_dir, "lineitem"))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    created = table(spark, sf_dir, "orders").select("o_orderkey", _create_seconds().alias("order_seconds"))
+    created = table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{_CREATED} AS order_seconds")
     joined = (lines.join(parts, lines.l_partkey == parts.p_partkey)
               .join(created, lines.l_orderkey == created.o_orderkey))
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    digest = F.md5(F.concat_ws("|", *[_text(c) for c in (
-        F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"), price,
-        F.date_format("l_shipdate", "yyyy-MM-dd"))]))
-    lag = (F.col("l_partkey") * 977) % 172800 - 43200
-    fields = {
-        "id": F.conv(F.substring(digest, 1, 15), 16, 10), "order_id": F.col("l_orderkey"),
-        "sku_id": F.col("l_partkey"), "order_price": F.col("p_retailprice"),
-        "sku_num": F.col("l_quantity"), "sku_name": F.col("p_name"),
-        "create_time": _datetime_text(F.col("order_seconds") + lag),
-        "split_total_amount": F.col("l_extendedprice"),
-        "split_activity_amount": price * F.col("l_discount").cast("decimal(4,2)"),
-        "split_coupon_amount": F.lit(0.0)}
-    return joined.select(*[fields[f.name].cast(f.dataType).alias(f.name) for f in ORDER_DETAIL.fields])
+    price = "CAST(l_extendedprice AS DECIMAL(18,2))"
+    line_key = f"""concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, {price},
+                   date_format(l_shipdate, 'yyyy-MM-dd'))"""
+    return joined.selectExpr(
+        f"bigint(conv(substr(md5({line_key}), 1, 15), 16, 10)) AS id", "l_orderkey AS order_id",
+        "l_partkey AS sku_id", "p_retailprice AS order_price", "bigint(l_quantity) AS sku_num",
+        "p_name AS sku_name",
+        f"date_format(timestamp_seconds(order_seconds + l_partkey * 977 % 172800 - 43200), '{DATETIME}')"
+        " AS create_time",
+        "l_extendedprice AS split_total_amount",
+        f"double({price} * CAST(l_discount AS DECIMAL(4,2))) AS split_activity_amount",
+        "0D AS split_coupon_amount")
 
 
 def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:

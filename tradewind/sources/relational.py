@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_parquet_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
+    """A table of the export; with its schema given no file is opened before the query runs."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def spread_small(df: DataFrame) -> DataFrame:

@@ -77,7 +77,7 @@ def dau_job(messages: DataFrame, path: str, dimensions: Dimensions | None = None
     """First visits into the daily table, with dimensions if given.
 
     The table itself is the state: a device is new for a day if the day's earlier batches do not hold
-    it. Restarts need no restore, any lateness is accepted, and a replayed batch ignores its own rows.
+    it. Restarts need no restore, any lateness is accepted, and a repeated batch ignores its own rows.
     """
     schema = DAU_VISIT if dimensions is None else DAU_INFO
 
@@ -103,23 +103,28 @@ def read_dau(spark: SparkSession, path: str, enriched: bool = True) -> DataFrame
     return read_latest(spark, path, DAU_INFO if enriched else DAU_VISIT, dau.KEY)
 
 
-def bounded_dedup(messages: DataFrame, max_disorder: str) -> DataFrame:
+def bounded_dedup(messages: DataFrame, max_disorder: str, salts: int = 8) -> DataFrame:
     """First-seen rows with state that ends: a device is forgotten `max_disorder` after it was seen.
 
-    For streams whose disorder is known. Rows later than that are dropped.
+    For streams whose disorder is known. Rows later than that are dropped. The first of the two steps
+    keeps one row per device, day and salt, so that a busy device's rows are not all sent to one task.
     """
     pages = dau.entry_pages(read_records(messages, PAGE_LOG))
     timed = pages.withColumns({"dt": event_date(F.col("ts")), "event_at": F.timestamp_millis("ts")})
-    return timed.withWatermark("event_at", max_disorder).dropDuplicatesWithinWatermark(dau.KEY)
+    timed = timed.withWatermark("event_at", max_disorder)
+    if salts > 1:
+        salted = add_row_salt(timed, salts)
+        timed = salted.dropDuplicatesWithinWatermark([*dau.KEY, ROW_SALT]).drop(ROW_SALT)
+    return timed.dropDuplicatesWithinWatermark(dau.KEY)
 
 
 def join_orders(order_messages: DataFrame, detail_messages: DataFrame, max_disorder: str,
-                retention: datetime.timedelta = orders.RETENTION, salts: int = 1) -> DataFrame:
+                retention: datetime.timedelta = orders.RETENTION, salts: int = 4) -> DataFrame:
     """Stream-stream join of orders and line items created within the retention of each other.
 
     `max_disorder` is how late a message may come by its creation time; state on both sides is kept for
-    that plus the retention. With `salts` above one, the line items of an order are spread over that
-    many state partitions and the order's state is kept in each.
+    that plus the retention. The line items of an order are spread over `salts` state partitions and the
+    order's state is kept in each, as nothing splits a stream's hot key later.
     """
     left = orders.with_create_parts(read_records(order_messages, ORDER_INFO_SOURCE))
     left = left.withColumn("order_at", text_timestamp(F.col("create_time"))).withWatermark("order_at", max_disorder)
@@ -134,24 +139,31 @@ def join_orders(order_messages: DataFrame, detail_messages: DataFrame, max_disor
         left, right = add_all_salts(left, salts), add_row_salt(right, salts)
         condition = condition & (F.col(ROW_SALT) == F.col(PARTNER_SALT))
     joined = left.join(right, condition, "inner")
-    return joined.select(*orders.wide_columns(joined.columns))
+    return joined.selectExpr(*orders.wide_columns(joined.columns))
 
 
 def order_job(pairs: DataFrame, path: str, dimensions: Dimensions, as_of: datetime.date | None = None,
-              partition: str = "create_date") -> DataStreamWriter:
-    """Joined pairs, enriched with the newest dimensions, into the table of the order's day."""
+              monthly: bool = False) -> DataStreamWriter:
+    """Joined pairs, enriched with the newest dimensions, into the table of the order's day.
+
+    `monthly` folders suit a backlog that covers thousands of thinly filled days.
+    """
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
         users, provinces = dimensions(batch.sparkSession)
-        wide = orders.with_dimensions(batch, users, provinces, as_of)
-        write_batch(wide.select(*ORDER_WIDE.fieldNames()), path, batch_id, partition)
+        wide = orders.with_dimensions(batch, users, provinces, as_of).select(*ORDER_WIDE.fieldNames())
+        if monthly:
+            wide = wide.withColumn("create_month", F.substring("create_date", 1, 7))
+        write_batch(wide, path, batch_id, "create_month" if monthly else "create_date")
 
     return pairs.writeStream.foreachBatch(enrich)
 
 
-def read_orders(spark: SparkSession, path: str) -> DataFrame:
+def read_orders(spark: SparkSession, path: str, monthly: bool = False) -> DataFrame:
     """One row per line item and day; a replayed order's newer pairs replace the older ones."""
-    return read_latest(spark, path, ORDER_WIDE, ["create_date", "detail_id"])
+    extra = [T.StructField("create_month", T.StringType())] if monthly else []
+    wide = read_latest(spark, path, T.StructType([*ORDER_WIDE.fields, *extra]), ["create_date", "detail_id"])
+    return wide.drop("create_month")
 
 
 def ods_names(suffix: str = names.TOPIC_SUFFIX) -> tuple[str, str]:

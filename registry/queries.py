@@ -463,7 +463,7 @@ def stream_change_routing(spark, sf_dir):
     topic, facts, dims = (new_folder(spark, n) for n in ("db-topic", "facts", "dims"))
     topics.land(derived.change_events(spark, sf_dir), topic)
     messages = topics.read_folder(spark, topic, spark.read.parquet(topic).schema)
-    _run(spark, jobs.change_routing_job(messages, facts, dims), "db-checkpoint")
+    _run(spark, jobs.change_routing_job(messages, jobs.folder_sink(facts), dims), "db-checkpoint")
     fact_rows = tables.read_versions(spark, facts, jobs.FACT).select(F.col("topic").alias("target"))
     dim_rows = change_routing.dim_latest(tables.read_versions(spark, dims, jobs.DIM_ROW).drop(tables.BATCH))
     target = F.concat(F.lit("DIM:"), F.col("table"))

@@ -26,15 +26,25 @@ def parse(messages: DataFrame, value: str = "value", offset: str | None = "offse
     """table, type, op, ts, offset and the row image `data` as JSON text; op is null for other types."""
     position = (F.col(offset) if offset else F.lit(0)).cast("bigint").alias("offset")
     event = once(messages.select(F.col(value).alias("value"), position), "event",
-                 F.from_json("value", CDC_EVENT), "offset")
+                 F.from_json("value", CDC_EVENT), "value", "offset")
     return event.select(
         F.col("event.table").alias("table"), F.col("event.type").alias("type"),
-        operation(F.col("event.type")).alias("op"),
-        F.col("event.ts").try_cast("bigint").alias("ts"), "offset", F.col("event.data").alias("data"))
+        operation(F.col("event.type")).alias("op"), F.col("event.ts").try_cast("bigint").alias("ts"),
+        "offset", F.col("event.data").alias("data"), "value")
+
+
+def _readable() -> Column:
+    return F.col("type").isNotNull() & F.col("table").isNotNull() & (F.col("op").isNull() | F.col("data").isNotNull())
 
 
 def known(events: DataFrame) -> DataFrame:
-    return events.where(F.col("op").isNotNull())
+    """Readable events of the types of interest."""
+    return events.where(F.col("op").isNotNull() & _readable())
+
+
+def dead_letters(events: DataFrame) -> DataFrame:
+    """Messages that are no change event: unreadable, without type or table, or without a row image."""
+    return events.where(~_readable()).select("value")
 
 
 def _fact_messages(events: DataFrame, suffix: str) -> DataFrame:

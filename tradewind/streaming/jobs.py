@@ -22,6 +22,8 @@ from tradewind.sources.tables import BATCH, read_latest, read_versions, write_ba
 
 log = logging.getLogger(__name__)
 
+# Takes the messages of one micro-batch and its number.
+Sink = Callable[[DataFrame, int], None]
 # Users and provinces, read anew for every micro-batch.
 Dimensions = Callable[[SparkSession], tuple[DataFrame, DataFrame]]
 
@@ -31,16 +33,38 @@ DIM_ROW = T.StructType([T.StructField(n, T.StringType()) for n in ("table", "id"
 FACT = T.StructType([T.StructField("topic", T.StringType()), T.StructField("value", T.StringType())])
 
 
-def log_split_job(lines: DataFrame, path: str) -> DataStreamWriter:
-    """Split the raw log into its topics, one pass, no state. The file sink commits each batch once."""
+def split_stream(lines: DataFrame) -> DataFrame:
+    """The raw log as messages of (topic, value), one pass, no state. Every batch's progress reports how
+    many messages it made and how many of them are dead letters."""
     messages = log_split.split_messages(log_split.parse(lines))
-    return messages.writeStream.format("parquet").partitionBy("topic").option("path", path)
+    dead = F.col("topic") == names.topic(names.DEAD_LETTER_TOPIC)
+    return messages.observe("log_split", F.count(F.lit(1)).alias("messages"), F.count_if(dead).alias("dead_letters"))
+
+
+def log_split_job(lines: DataFrame, path: str) -> DataStreamWriter:
+    """Split the raw log into a folder per topic. The file sink commits each batch once."""
+    return split_stream(lines).writeStream.format("parquet").partitionBy("topic").option("path", path)
+
+
+def folder_sink(path: str) -> Sink:
+    return lambda messages, batch_id: write_batch(messages, path, batch_id, partition="topic")
 
 
-def change_routing_job(messages: DataFrame, fact_path: str, dim_path: str,
+def kafka_sink(servers: str) -> Sink:
+    def send(messages: DataFrame, batch_id: int) -> None:
+        messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("kafka.acks", "all").save()
+
+    return send
+
+
+def change_routing_job(messages: DataFrame, facts_to: Sink, dim_path: str,
                        control: Callable[[SparkSession], DataFrame] | None = None,
                        ledger: tuple[str, str] | None = None) -> DataStreamWriter:
-    """Route change events. `control` gives the table lists of each batch; `ledger` is (path, group)."""
+    """Route change events: facts and dead letters as messages, dimensions into their table.
+
+    `control` gives the table lists of each batch; `ledger` is (path, group). The batch is recorded after
+    its output, so a failure repeats it: facts are then sent again, dimension rows count once.
+    """
 
     def route(batch: DataFrame, batch_id: int) -> None:
         events = change_routing.parse(batch).persist()
@@ -48,7 +72,9 @@ def change_routing_job(messages: DataFrame, fact_path: str, dim_path: str,
             facts, dims = change_routing.fact_route(events), change_routing.dim_route(events)
         else:
             facts, dims = change_routing.dynamic_routes(events, control(batch.sparkSession))
-        write_batch(facts, fact_path, batch_id, partition="topic")
+        dead = change_routing.dead_letters(events).select(
+            F.lit(names.topic(names.DEAD_LETTER_TOPIC)).alias("topic"), "value")
+        facts_to(facts.unionByName(dead), batch_id)
         newest = latest_per_key(dims, ["table", "id"], ["ts", "offset"])
         write_batch(newest.select(*DIM_ROW.fieldNames()), dim_path, batch_id, partition="table")
         if ledger:
@@ -165,7 +191,3 @@ def read_orders(spark: SparkSession, path: str, monthly: bool = False) -> DataFr
     wide = read_latest(spark, path, T.StructType([*ORDER_WIDE.fields, *extra]), ["create_date", "detail_id"])
     return wide.drop("create_month")
 
-
-def ods_names(suffix: str = names.TOPIC_SUFFIX) -> tuple[str, str]:
-    """The two topics that the first-hop jobs read."""
-    return names.topic(names.ODS_LOG_TOPIC, suffix), names.topic(names.ODS_DB_TOPIC, suffix)

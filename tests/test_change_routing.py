@@ -51,3 +51,11 @@ def test_latest_image_wins_and_a_delete_keeps_or_drops_it(spark):
     latest = {r["id"]: json.loads(r["data"])["gender"] for r in cr.dim_latest(dims).collect()}
     assert latest == {"1": "F", "2": "M"}
     assert [r["id"] for r in cr.dim_latest(dims, drop_deleted=True).collect()] == ["1"]
+
+
+def test_a_list_too_long_to_read_is_joined(spark, monkeypatch):
+    events = _events(spark, *[_event("insert", t, {"id": 1}) for t in ("order_info", "order_detail", "cart_info")])
+    control = spark.createDataFrame([("fact", "order_info"), ("fact", "order_detail")], "role string, table_name string")
+    monkeypatch.setattr(cr, "MAX_LISTED", 1)
+    facts, _ = cr.dynamic_routes(events, control)
+    assert sorted(r["topic"] for r in facts.collect()) == ["DWD_ORDER_DETAIL_I_1018", "DWD_ORDER_INFO_I_1018"]

@@ -26,6 +26,12 @@ def test_log_lines_are_parsed_once(spark):
         assert plan.count("from_json(") == 1, name
 
 
+def test_routing_is_a_filter(spark):
+    for name in ("cdc_fact_route", "cdc_dynamic_routing"):
+        plan = physical(QUERIES[name](spark, SF))
+        assert not re.search(r"Join \[table#", plan) and "Exchange hashpartitioning(table" not in plan
+
+
 def test_first_visits_are_combined_before_the_shuffle(spark):
     plan = physical(QUERIES["dau_dedup"](spark, SF))
     assert re.search(r"SortAggregate.*final_min|SortAggregate.*functions=\[min", plan)
@@ -45,7 +51,7 @@ def test_large_sides_are_joined_by_shuffle_when_they_exceed_the_broadcast_limit(
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ("dau_wide", "order_wide", "cdc_dynamic_routing"):
+        for name in ("dau_wide", "order_wide"):
             plan = physical(QUERIES[name](spark, SF))
             assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     finally:

@@ -39,6 +39,17 @@ def test_dau_over_batches_with_late_data(spark, tmp_path):
                            ("2024-01-03", "a", MIDNIGHT + DAY)]
 
 
+def test_progress_counts_the_funnel_and_unreadable_messages(spark, tmp_path):
+    topic = f"{tmp_path}/topic"
+    messages = write_records(pages(spark, page("a", MIDNIGHT), page("b", MIDNIGHT, last_page_id="home")))
+    topics.land(messages.union(spark.createDataFrame([("{broken",), ("",)], "value string")).coalesce(1), topic)
+    query = run(jobs.dau_job(topics.read_folder(spark, topic), f"{tmp_path}/dau"), tmp_path)
+    seen = query.lastProgress["observedMetrics"]
+    assert seen["dau_input"].asDict() == {"messages": 4, "unreadable": 2}
+    assert seen["dau_funnel"].asDict() == {"pages": 2, "entry_pages": 1}
+    assert jobs.read_dau(spark, f"{tmp_path}/dau", enriched=False).count() == 1
+
+
 def test_repeated_batch_counts_once(spark, tmp_path):
     out = f"{tmp_path}/dau"
     visits = dau.first_visits(pages(spark, page("a", MIDNIGHT), page("b", MIDNIGHT)))

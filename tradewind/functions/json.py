@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tradewind.schemas import as_text
 
+_CORRUPT = "_corrupt_record"
+
 
 def once(df: DataFrame, name: str, expression: Column, *keep: str) -> DataFrame:
     """`keep` columns and a costly expression that is worked out once per row, whatever reads it.
@@ -22,10 +24,19 @@ def typed_fields(parsed: str, schema: T.StructType) -> list[Column]:
     return [F.col(f"{parsed}.{f.name}").try_cast(f.dataType).alias(f.name) for f in schema.fields]
 
 
-def read_records(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Messages holding one flat JSON object each -> typed rows; text that is no object is dropped."""
-    parsed = once(messages, "_record", F.from_json(value, as_text(schema)))
-    return parsed.where(F.col("_record").isNotNull()).select(*typed_fields("_record", schema))
+def read_records(messages: DataFrame, schema: T.StructType, value: str = "value",
+                 metric: str | None = None) -> DataFrame:
+    """Messages holding one flat JSON object each -> typed rows; other text gives no row.
+
+    Under the name `metric`, a stream's progress reports the messages read and those that gave no row.
+    """
+    text = T.StructType([*as_text(schema).fields, T.StructField(_CORRUPT, T.StringType())])
+    record = F.from_json(value, text, {"columnNameOfCorruptRecord": _CORRUPT})
+    parsed = once(messages.select(value), "_record", record)
+    readable = F.col("_record").isNotNull() & F.col(f"_record.{_CORRUPT}").isNull()
+    if metric:
+        parsed = parsed.observe(metric, F.count(F.lit(1)).alias("messages"), F.count_if(~readable).alias("unreadable"))
+    return parsed.where(readable).select(*typed_fields("_record", schema))
 
 
 def write_records(records: DataFrame, columns: list[str] | None = None) -> DataFrame:

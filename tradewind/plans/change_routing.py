@@ -14,6 +14,8 @@ from tradewind.schemas import CDC_EVENT
 # Which change types are of interest, and the letter each has in a topic name.
 OPERATIONS = {"bootstrap-insert": "I", "insert": "I", "update": "U", "delete": "D"}
 
+MAX_LISTED = 10_000
+
 
 def operation(change_type: Column) -> Column:
     chain = F
@@ -71,15 +73,24 @@ def dim_route(events: DataFrame, tables: Sequence[str] = names.DIM_TABLES) -> Da
     return _dim_rows(known(events).where(F.col("table").isin(*tables)))
 
 
+def listed(events: DataFrame, control: DataFrame, role: str) -> DataFrame:
+    """Events of the tables that the control table names for a role.
+
+    The names are read first, so that routing stays a filter: a join would send all events of one table
+    to one task. Only a list beyond any real database's number of tables is joined after all.
+    """
+    tables = control.where(F.col("role") == role).select(F.col("table_name").alias("table")).distinct()
+    found = [r["table"] for r in tables.take(MAX_LISTED + 1)]
+    if len(found) > MAX_LISTED:
+        return events.join(tables, "table", "left_semi")
+    return events.where(F.col("table").isin(found))
+
+
 def dynamic_routes(events: DataFrame, control: DataFrame,
                    suffix: str = names.TOPIC_SUFFIX) -> tuple[DataFrame, DataFrame]:
     """As the two routes above, with the lists in a control table of (role, table_name)."""
-
-    def listed(role: str) -> DataFrame:
-        tables = control.where(F.col("role") == role).select(F.col("table_name").alias("table"))
-        return known(events).join(tables, "table", "left_semi")
-
-    return _fact_messages(listed("fact"), suffix), _dim_rows(listed("dim"))
+    events = known(events)
+    return _fact_messages(listed(events, control, "fact"), suffix), _dim_rows(listed(events, control, "dim"))
 
 
 def dim_latest(dim_rows: DataFrame, drop_deleted: bool = False) -> DataFrame:

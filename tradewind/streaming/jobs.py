@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 import datetime
-import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tradewind import names
@@ -20,8 +19,6 @@ from tradewind.schemas import (BASE_PROVINCE, DAU_INFO, ORDER_DETAIL, ORDER_INFO
 from tradewind.sources import offsets
 from tradewind.sources.tables import BATCH, read_latest, read_versions, write_batch
 
-log = logging.getLogger(__name__)
-
 # Takes the messages of one micro-batch and its number.
 Sink = Callable[[DataFrame, int], None]
 # Users and provinces, read anew for every micro-batch.
@@ -104,25 +101,24 @@ def dau_job(messages: DataFrame, path: str, dimensions: Dimensions | None = None
 
     The table itself is the state: a device is new for a day if the day's earlier batches do not hold
     it. Restarts need no restore, any lateness is accepted, and a repeated batch ignores its own rows.
+    Every batch's progress reports the pages before and after the entry filter.
     """
     schema = DAU_VISIT if dimensions is None else DAU_INFO
+    pages = read_records(messages, PAGE_LOG, metric="dau_input").observe(
+        "dau_funnel", F.count(F.lit(1)).alias("pages"), F.count_if(F.col("last_page_id").isNull()).alias("entry_pages"))
 
     def dedup(batch: DataFrame, batch_id: int) -> None:
-        spark, counts = batch.sparkSession, Observation()
-        pages = read_records(batch, PAGE_LOG).observe(
-            counts, F.count(F.lit(1)).alias("pages"),
-            F.count_if(F.col("last_page_id").isNull()).alias("entry_pages"))
-        visits = dau.first_visits(pages).persist()
+        spark = batch.sparkSession
+        visits = dau.first_visits(batch).persist()
         days = [r["dt"] for r in visits.select("dt").distinct().collect()]
         seen = read_versions(spark, path, schema).where(F.col("dt").isin(days) & (F.col(BATCH) != batch_id))
         fresh = dau.not_yet_seen(visits, seen)
         if dimensions is not None:
             fresh = dau.enrich(fresh, *dimensions(spark), as_of)
         write_batch(fresh, path, batch_id)
-        log.info("batch %d: %s over %d days", batch_id, counts.get, len(days))
         visits.unpersist()
 
-    return messages.writeStream.foreachBatch(dedup)
+    return pages.writeStream.foreachBatch(dedup)
 
 
 def read_dau(spark: SparkSession, path: str, enriched: bool = True) -> DataFrame:
@@ -135,7 +131,7 @@ def bounded_dedup(messages: DataFrame, max_disorder: str, salts: int = 8) -> Dat
     For streams whose disorder is known. Rows later than that are dropped. The first of the two steps
     keeps one row per device, day and salt, so that a busy device's rows are not all sent to one task.
     """
-    pages = dau.entry_pages(read_records(messages, PAGE_LOG))
+    pages = dau.entry_pages(read_records(messages, PAGE_LOG, metric="dau_input"))
     timed = pages.withColumns({"dt": event_date(F.col("ts")), "event_at": F.timestamp_millis("ts")})
     timed = timed.withWatermark("event_at", max_disorder)
     if salts > 1:
@@ -152,9 +148,9 @@ def join_orders(order_messages: DataFrame, detail_messages: DataFrame, max_disor
     that plus the retention. The line items of an order are spread over `salts` state partitions and the
     order's state is kept in each, as nothing splits a stream's hot key later.
     """
-    left = orders.with_create_parts(read_records(order_messages, ORDER_INFO_SOURCE))
+    left = orders.with_create_parts(read_records(order_messages, ORDER_INFO_SOURCE, metric="order_input"))
     left = left.withColumn("order_at", text_timestamp(F.col("create_time"))).withWatermark("order_at", max_disorder)
-    right = orders.detail_side(read_records(detail_messages, ORDER_DETAIL))
+    right = orders.detail_side(read_records(detail_messages, ORDER_DETAIL, metric="detail_input"))
     right = right.withColumn("detail_at", text_timestamp(F.col("d_create_time"))).withWatermark(
         "detail_at", max_disorder)
     held = F.lit(retention)

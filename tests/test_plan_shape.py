@@ -3,8 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from registry.queries import QUERIES
+from tradewind.plans import orders
+from tradewind.session import scratch_root
+from tradewind.sources import derived, tables
+from tradewind.sources.relational import jdbc_options
 
 SF = "/root/testdata/sf0.001"
 
@@ -56,3 +61,55 @@ def test_large_sides_are_joined_by_shuffle_when_they_exceed_the_broadcast_limit(
             assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+@pytest.fixture
+def tight(spark):
+    """Small thresholds, so that the adaptive planner treats test data as it would treat large data."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {name: spark.conf.get(name, None) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _skewed(spark):
+    """Line items of which two thirds belong to one order."""
+    larger = SF.replace("0.001", "0.01")
+    details = derived.order_detail(spark, larger)
+    key = F.when(F.col("sku_num") % 3 != 0, 7).otherwise(F.col("order_id"))
+    return derived.order_info(spark, larger), details.withColumn("order_id", key)
+
+
+@pytest.mark.parametrize("function", [orders.order_wide, orders.detail_unmatched])
+def test_a_hot_order_is_split_at_run_time(spark, tight, function):
+    got = function(*_skewed(spark))
+    got.collect()
+    assert "skew=true" in physical(got)
+
+
+def test_a_busy_day_is_written_by_several_tasks(spark, tight, tmp_path):
+    rows = spark.range(0, 60000, 1, 8).selectExpr("md5(string(id)) AS mid", "IF(id % 10 = 0, '2024-01-02', '2024-01-01') AS dt")
+    tables.write_batch(rows, str(tmp_path / "days"), 0)
+    assert len(list((tmp_path / "days" / "dt=2024-01-01").glob("*.parquet"))) > 2
+
+
+def test_scratch_is_shared_or_local(spark):
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda name, default=None: {"spark.master": "yarn"}.get(name, default))
+
+    with pytest.raises(RuntimeError):
+        scratch_root(Cluster)
+    Cluster.conf.get = staticmethod(lambda name, default=None: {"spark.checkpoint.dir": "s3://x/"}.get(name, default))
+    assert scratch_root(Cluster) == "s3://x"
+
+
+def test_jdbc_reads_are_cut_into_ranges():
+    options = jdbc_options("jdbc:mysql://h/db", "order_info", "id", 0, 1000, 64)
+    assert (options["partitionColumn"], options["numPartitions"], options["upperBound"]) == ("id", "64", "1000")

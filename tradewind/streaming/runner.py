@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 INTERVAL = "5 seconds"
@@ -20,3 +21,8 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for the query to end; its failure is raised here."""
     query.awaitTermination()
     return query
+
+
+def preview(stream: DataFrame, rows: int = 100) -> DataStreamWriter:
+    """Print the first rows of every batch, to watch a stream while working on it."""
+    return stream.writeStream.format("console").option("numRows", rows).option("truncate", "false")

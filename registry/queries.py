@@ -493,7 +493,7 @@ def stream_dau_dedup_bounded(spark, sf_dir):
 def stream_dau_wide(spark, sf_dir):
     topic, out = new_folder(spark, "page-topic"), new_folder(spark, "dau-wide")
     topics.land(_page_messages(spark, sf_dir), topic)
-    job = jobs.dau_job(topics.read_folder(spark, topic), out, lambda s: _dims(s, sf_dir), AS_OF)
+    job = jobs.dau_job(topics.read_folder(spark, topic), out, lambda s, rows: _dims(s, sf_dir), AS_OF)
     _run(spark, job, "dau-wide-checkpoint")
     return jobs.read_dau(spark, out)
 
@@ -518,5 +518,5 @@ def stream_order_join(spark, sf_dir):
     topics.land(write_records(derived.order_info(spark, sf_dir)), order_topic)
     topics.land(write_records(derived.order_detail(spark, sf_dir), ORDER_DETAIL.fieldNames()), detail_topic)
     pairs = jobs.join_orders(topics.read_folder(spark, order_topic), topics.read_folder(spark, detail_topic), "1 day")
-    _run(spark, jobs.order_job(pairs, out, lambda s: _dims(s, sf_dir), AS_OF, monthly=True), "order-checkpoint")
+    _run(spark, jobs.order_job(pairs, out, lambda s, rows: _dims(s, sf_dir), AS_OF, monthly=True), "order-checkpoint")
     return jobs.read_orders(spark, out, monthly=True)

@@ -21,7 +21,7 @@ def run(writer, tmp_path, name="checkpoint"):
     return finish(start(writer, f"{tmp_path}/{name}", available_now=True))
 
 
-def dims(spark):
+def dims(spark, rows):
     return derived.user_info(spark, SF), derived.base_province(spark, SF)
 
 

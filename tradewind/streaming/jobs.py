@@ -21,8 +21,8 @@ from tradewind.sources.tables import BATCH, read_latest, read_versions, write_ba
 
 # Takes the messages of one micro-batch and its number.
 Sink = Callable[[DataFrame, int], None]
-# Users and provinces, read anew for every micro-batch.
-Dimensions = Callable[[SparkSession], tuple[DataFrame, DataFrame]]
+# Users and provinces for the rows of one micro-batch, read anew for each.
+Dimensions = Callable[[SparkSession, DataFrame], tuple[DataFrame, DataFrame]]
 
 DAU_VISIT = T.StructType([*PAGE_LOG.fields, T.StructField("dt", T.StringType())])
 DIM_ROW = T.StructType([T.StructField(n, T.StringType()) for n in ("table", "id", "dim_key", "op", "data")]
@@ -82,15 +82,20 @@ def change_routing_job(messages: DataFrame, facts_to: Sink, dim_path: str,
 
 
 def dimension_reader(dim_path: str) -> Dimensions:
-    """The newest users and provinces of the dimension table that ``change_routing_job`` keeps."""
+    """The newest users and provinces of the dimension table that ``change_routing_job`` keeps.
 
-    def read(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-        def typed(name: str, schema: T.StructType) -> DataFrame:
+    Versions are cut down to the ids that the batch refers to before the newest is picked, so that with
+    few enough ids to broadcast the dimension table is scanned but not shuffled.
+    """
+
+    def read(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        def typed(name: str, key: str, schema: T.StructType) -> DataFrame:
+            wanted = rows.select(F.col(key).cast("string").alias("id")).distinct()
             versions = read_versions(spark, dim_path, DIM_ROW).where(F.col("table") == name)
-            rows = change_routing.dim_latest(versions.select(*DIM_ROW.fieldNames()))
-            return read_records(rows, schema, "data")
+            newest = change_routing.dim_latest(versions.join(wanted, "id", "left_semi").select(*DIM_ROW.fieldNames()))
+            return read_records(newest, schema, "data")
 
-        return typed("USER_INFO", USER_INFO), typed("BASE_PROVINCE", BASE_PROVINCE)
+        return typed("USER_INFO", "user_id", USER_INFO), typed("BASE_PROVINCE", "province_id", BASE_PROVINCE)
 
     return read
 
@@ -114,7 +119,7 @@ def dau_job(messages: DataFrame, path: str, dimensions: Dimensions | None = None
         seen = read_versions(spark, path, schema).where(F.col("dt").isin(days) & (F.col(BATCH) != batch_id))
         fresh = dau.not_yet_seen(visits, seen)
         if dimensions is not None:
-            fresh = dau.enrich(fresh, *dimensions(spark), as_of)
+            fresh = dau.enrich(fresh, *dimensions(spark, visits), as_of)
         write_batch(fresh, path, batch_id)
         visits.unpersist()
 
@@ -172,11 +177,16 @@ def order_job(pairs: DataFrame, path: str, dimensions: Dimensions, as_of: dateti
     """
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
-        users, provinces = dimensions(batch.sparkSession)
-        wide = orders.with_dimensions(batch, users, provinces, as_of).select(*ORDER_WIDE.fieldNames())
+        held = batch.persist()
+        if held.count() == 0:  # also fills the cache, whose size then decides the joins below
+            held.unpersist()
+            return
+        users, provinces = dimensions(batch.sparkSession, held)
+        wide = orders.with_dimensions(held, users, provinces, as_of).select(*ORDER_WIDE.fieldNames())
         if monthly:
             wide = wide.withColumn("create_month", F.substring("create_date", 1, 7))
         write_batch(wide, path, batch_id, "create_month" if monthly else "create_date")
+        held.unpersist()
 
     return pairs.writeStream.foreachBatch(enrich)
 

@@ -5,7 +5,7 @@ import json
 from tests.test_orders import text
 from tradewind.app import App
 from tradewind.plans import log_split
-from tradewind.schemas import _record
+from tradewind.schemas import record
 from tradewind.sources import derived, topics
 from tradewind.streaming import jobs
 
@@ -23,7 +23,7 @@ def test_from_raw_topics_to_both_wide_tables(spark, tmp_path):
     changes = [json.dumps({"type": "insert", "table": t, "ts": 1, "data": d})
                for t, d in (("order_info", row), ("order_detail", detail), ("user_info", user))] + ["broken"]
     topics.land(spark.createDataFrame([("db", 0, i, v) for i, v in enumerate(changes)],
-                                      _record("topic partition:int offset:long value")), app.folder("ODS_BASE_DB_1018"))
+                                      record("topic partition:int offset:long value")), app.folder("ODS_BASE_DB_1018"))
     for job in ("log-split", "change-routing", "dau", "orders"):
         app.run(job, available_now=True)
 

@@ -8,7 +8,7 @@ from tests.test_dau import MIDNIGHT, page, pages
 from tests.test_orders import ids, make_details, make_orders, text
 from tradewind.functions.json import write_records
 from tradewind.plans import dau
-from tradewind.schemas import PAGE_LOG, _record
+from tradewind.schemas import PAGE_LOG, record
 from tradewind.sources import derived, offsets, tables, topics
 from tradewind.streaming import jobs
 from tradewind.streaming.runner import finish, start
@@ -76,7 +76,7 @@ def test_each_batch_sees_the_newest_dimensions(spark, tmp_path):
     """Change events feed the dimension table while the daily job runs on it."""
     db, facts, store = (f"{tmp_path}/{n}" for n in ("db", "facts", "store"))
     log, out = f"{tmp_path}/log", f"{tmp_path}/dau"
-    schema = _record("value offset:long")
+    schema = record("value offset:long")
 
     def change(gender, ts):
         event = {"type": "update", "table": "user_info", "ts": ts,
@@ -95,7 +95,7 @@ def test_each_batch_sees_the_newest_dimensions(spark, tmp_path):
 
 def test_table_lists_are_read_anew_for_every_batch(spark, tmp_path):
     db, facts, store, ledger = (f"{tmp_path}/{n}" for n in ("db", "facts", "store", "ledger"))
-    schema = _record("topic partition:int offset:long value")
+    schema = record("topic partition:int offset:long value")
     listed = {"table": "order_info"}
 
     def control(session):

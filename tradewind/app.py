@@ -13,7 +13,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind import names
-from tradewind.schemas import _record
+from tradewind.schemas import record
 from tradewind.session import build_session
 from tradewind.sources import topics
 from tradewind.streaming import jobs
@@ -35,9 +35,9 @@ class App:
         topic = names.topic(base, self.suffix)
         if self.servers:
             return topics.read_kafka(self.spark, topics.kafka_options(self.servers, topic))
-        schema = _record("value topic")
+        schema = record("value topic")
         if written_by is None:
-            return topics.read_folder(self.spark, self.folder(topic), _record("topic partition:int offset:long value"))
+            return topics.read_folder(self.spark, self.folder(topic), record("topic partition:int offset:long value"))
         return topics.read_folder(self.spark, self.folder(written_by), schema).where(F.col("topic") == topic)
 
     def writer(self, job: str):

@@ -33,7 +33,7 @@ from tradewind.llm.textcuts import pieces
 NO_RANK = np.iinfo(np.int32).max
 # Characters whose words are replayed together, and pieces that a worker remembers.
 TEXT_AT_ONCE = 16 << 20
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 class Vocabulary:
@@ -151,7 +151,7 @@ class Encoder:
         for text in found:
             new.update(pieces(text))
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known = {piece: self.known[piece] for piece in new if piece in self.known}
         new.difference_update(self.known)
         order = list(new)
         split = [self.pattern.findall(piece) for piece in order]
@@ -165,8 +165,12 @@ class Encoder:
 
     def encode(self, text: str) -> tuple[int, str, bytes]:
         """Number of ids, the ids as text with a space before each, and the bytes that they decode to."""
-        known = [self.known[piece] for piece in pieces(text)]
-        return sum(x[0] for x in known), "".join([x[1] for x in known]), b"".join([x[2] for x in known])
+        known = self.known
+        found = [known[piece] for piece in pieces(text)]
+        if not found:
+            return 0, "", b""
+        counts, listed, data = zip(*found, strict=True)
+        return sum(counts), "".join(listed), b"".join(data)
 
 
 @functools.lru_cache(maxsize=2)

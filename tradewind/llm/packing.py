@@ -32,7 +32,8 @@ END = 1
 SHARD_PIECES = 4096
 QUERY_TOKENS = 24
 K1, B = 1.2, 0.75
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
+TEXTS_AT_ONCE = 1024
 # Tokens of a task that packs: enough windows that one partly filled does not count, and few enough for memory.
 LEAST_TOKENS, MOST_TOKENS = 128 * WINDOW, 1 << 24
 FULL, REST, COUNTS = 0, 1, 2
@@ -51,24 +52,37 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
+        # A byte-level token has one character for each of its bytes.
+        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.size)])
         self.known: dict[str, bytes] = {}
 
-    def learn(self, found: list[str]) -> None:
-        new: set[str] = set()
-        for text in found:
-            new.update(pieces(text))
+    def _learn(self, new: list[str]) -> None:
+        """Encode pieces a stretch at a time: tokens do not cross pieces, so their bytes tell whose they are."""
+        # A piece without white space in front gets a line break, which is a token of its own there.
+        led = [piece if piece[0].isspace() else f"\n{piece}" for piece in new]
+        stretches = [slice(at, at + 2048) for at in range(0, len(led), 2048)]
+        coded = self.tokenizer.encode_batch_fast(["".join(led[part]) for part in stretches], add_special_tokens=False)
+        for part, found in zip(stretches, coded, strict=True):
+            ids = np.array(found.ids, dtype="<u4")
+            ends = np.cumsum(np.fromiter((len(piece.encode()) for piece in led[part]), dtype=np.int64))
+            stops = (4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1)).tolist()
+            data, start = ids.tobytes(), 0
+            for piece, lead, stop in zip(new[part], led[part], stops, strict=True):
+                self.known[piece] = data[start + 4 * (lead is not piece):stop]
+                start = stop
+
+    def encode(self, found: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        cut = [pieces(text) for text in found]
+        new: set[str] = set().union(*cut)
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known = {piece: self.known[piece] for piece in new if piece in self.known}
         new.difference_update(self.known)
-        order = list(new)
-        for at in range(0, len(order), 4096):
-            part = order[at:at + 4096]
-            for piece, coded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[piece] = np.array(coded.ids, dtype="<u4").tobytes()
-
-    def encode(self, text: str) -> np.ndarray:
-        known = self.known
-        return np.frombuffer(b"".join([known[piece] for piece in pieces(text)]), dtype="<u4")
+        new.discard("")
+        self.known[""] = b""
+        self._learn(list(new))
+        get = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(get, own)), dtype="<u4") for own in cut]
 
 
 @functools.lru_cache(maxsize=1)
@@ -91,12 +105,11 @@ def _tokenized(docs: DataFrame, path: str, window: int, id_col: str, text_col: s
         coder = _tokens(path)
         counts = np.zeros(coder.size + 2, dtype=np.int64)
         row = sequence = TaskContext.get().partitionId() << 33
-        for table in table_batches(batches, 2048):
+        for table in table_batches(batches, TEXTS_AT_ONCE):
             found = [text or "" for text in table.column(1).to_pylist()]
-            coder.learn(found)
             out: list[tuple] = []
-            for doc_id, text in zip(table.column(0).to_pylist(), found, strict=True):
-                ids = np.append(coder.encode(text), np.uint32(END)).astype("<u4")
+            for doc_id, coded in zip(table.column(0).to_pylist(), coder.encode(found), strict=True):
+                ids = np.append(coded, np.uint32(END)).astype("<u4")
                 own = np.unique(ids)
                 counts[own] += 1
                 counts[-2] += 1

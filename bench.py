@@ -21,7 +21,8 @@ HEADLINES = [
     "detail_unmatched", "order_amount_by_gender", "order_amount_by_age_band", "order_amount_by_province",
     "order_item_search", "bulk_upsert", "update_by_id", "delete_by_id", "search_filter",
     "search_total_hits", "terms_avg_topk", "offset_ledger", "stream_log_split", "stream_dau_dedup",
-    "stream_dau_wide",
+    "stream_dau_wide", "stream_order_join", "stream_change_routing", "stream_restart", "stream_new_checkpoint",
+    "stream_dau_dedup_bounded", "dau_funnel_counts", "keyed_sink_layout", "alias_all_days", "order_mapping_cast",
 ]
 
 

@@ -304,5 +304,6 @@ ORACLE: dict[str, str] = {
     "stream_dau_dedup_bounded": _sql("SELECT dt, mid FROM first_visit"),
     "stream_dau_wide": _sql("SELECT * FROM dau"),
     "stream_restart": _sql("SELECT * FROM first_visit"),
+    "stream_new_checkpoint": _sql("SELECT * FROM first_visit"),
     "stream_order_join": _sql("SELECT * FROM wide"),
 }

@@ -12,7 +12,6 @@ from tradewind.functions.text import highlight, matches_any
 from tradewind.functions.time import age_years
 from tradewind.operators import documents, records
 from tradewind.operators.dimensions import with_province, with_user
-from tradewind.operators.skew import hot_keys
 from tradewind.plans import change_routing, dau, log_split, orders, reports
 from tradewind.schemas import DAU_INFO, DAU_MAPPING, ORDER_DETAIL, ORDER_MAPPING, PAGE_LOG
 from tradewind.session import new_folder, tune
@@ -277,9 +276,7 @@ def order_enriched(spark, sf_dir):
 
 @query
 def order_full_outer(spark, sf_dir):
-    """Nothing splits a full outer join, so orders with very many lines are looked for first."""
-    hot = hot_keys(derived.table(spark, sf_dir, "lineitem"), "l_orderkey")
-    joined = orders.full_outer(derived.order_info(spark, sf_dir), derived.order_detail(spark, sf_dir), hot)
+    joined = orders.full_outer(derived.order_info(spark, sf_dir), derived.order_detail(spark, sf_dir))
     return joined.select(F.col("id").alias("order_id"), F.col("d_id").alias("detail_id"),
                          "total_amount", "d_split_total_amount")
 
@@ -484,7 +481,7 @@ def stream_dau_dedup_bounded(spark, sf_dir):
     """The variant with bounded state: which devices were seen on which day."""
     topic, out = new_folder(spark, "page-topic"), new_folder(spark, "dau-bounded")
     topics.land(_page_messages(spark, sf_dir), topic)
-    seen = jobs.bounded_dedup(topics.read_folder(spark, topic), "2 days").select("dt", "mid")
+    seen = jobs.bounded_dedup(topics.read_folder(spark, topic), "1 hour").select("dt", "mid")
     _run(spark, seen.writeStream.format("parquet").option("path", out), "dau-bounded-checkpoint")
     return spark.read.schema("dt string, mid string").parquet(out)
 
@@ -514,9 +511,26 @@ def stream_restart(spark, sf_dir):
 
 @query
 def stream_order_join(spark, sf_dir):
-    order_topic, detail_topic, out = (new_folder(spark, n) for n in ("order-topic", "detail-topic", "order-wide"))
-    topics.land(write_records(derived.order_info(spark, sf_dir)), order_topic)
-    topics.land(write_records(derived.order_detail(spark, sf_dir), ORDER_DETAIL.fieldNames()), detail_topic)
-    pairs = jobs.join_orders(topics.read_folder(spark, order_topic), topics.read_folder(spark, detail_topic), "1 day")
-    _run(spark, jobs.order_job(pairs, out, lambda s, rows: _dims(s, sf_dir), AS_OF, monthly=True), "order-checkpoint")
+    """Orders and line items in four micro-batches each, in no order of time."""
+    order_topic, detail_topic, sides, out = (
+        new_folder(spark, n) for n in ("order-topic", "detail-topic", "order-sides", "order-wide"))
+    topics.land(write_records(derived.order_info(spark, sf_dir)).repartition(4), order_topic)
+    topics.land(write_records(derived.order_detail(spark, sf_dir), ORDER_DETAIL.fieldNames()).repartition(4), detail_topic)
+    streams = [topics.read_folder(spark, topic, files_per_trigger=1) for topic in (order_topic, detail_topic)]
+    job = jobs.stored_order_job(*streams, sides, out, lambda s, rows: _dims(s, sf_dir), AS_OF)
+    _run(spark, job, "order-checkpoint")
     return jobs.read_orders(spark, out, monthly=True)
+
+
+@query
+def stream_new_checkpoint(spark, sf_dir):
+    """The daily job run over the first half of the month, then over all of it with a new checkpoint: the
+    table ends as if it had run once."""
+    topic, out = new_folder(spark, "page-topic"), new_folder(spark, "dau")
+    messages = _page_messages(spark, sf_dir)
+    half = F.lit(int(datetime.datetime(2024, 1, 16, tzinfo=datetime.timezone.utc).timestamp() * 1000))
+    for number, part in enumerate((messages.where(F.col("ts") < half), messages.where(F.col("ts") >= half))):
+        topics.land(part, topic)
+        job = jobs.dau_job(topics.read_folder(spark, topic), out)
+        finish(start(job, new_folder(spark, f"dau-checkpoint-{number}"), available_now=True))
+    return jobs.read_dau(spark, out, enriched=False)

@@ -172,3 +172,49 @@ def test_page_schema_survives_the_topic(spark):
 
     original = pages(spark, page("a", MIDNIGHT, during_time=3))
     assert read_records(write_records(original), PAGE_LOG).collect() == original.collect()
+
+
+def test_orders_join_in_any_order_of_batches(spark, tmp_path):
+    """Interleaved days, years apart, one file a batch: nothing is late."""
+    order_topic, detail_topic, out = (f"{tmp_path}/{n}" for n in ("orders", "details", "wide"))
+    batches = [([(1, text(24 * 400))], [(20, 2, text(1))]),
+               ([(3, text(24 * 31))], [(10, 1, text(24 * 400 + 1)), (30, 3, text(24 * 32))]),
+               ([(2, text())], [(11, 1, text(24 * 401)), (12, 1, text(24 * 401, 1)), (31, 3, text(24 * 30))])]
+    for order_rows, detail_rows in batches:
+        topics.land(write_records(make_orders(spark, *order_rows)).coalesce(1), order_topic)
+        topics.land(write_records(make_details(spark, *detail_rows)).coalesce(1), detail_topic)
+    for _ in range(2):  # the second run has nothing left to read
+        streams = [topics.read_folder(spark, topic, files_per_trigger=1) for topic in (order_topic, detail_topic)]
+        run(jobs.stored_order_job(*streams, f"{tmp_path}/sides", out, dims, datetime.date(2024, 6, 30)), tmp_path)
+    wide = jobs.read_orders(spark, out, monthly=True)
+    assert sorted(r["detail_id"] for r in wide.collect()) == [10, 11, 20, 30, 31]
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_bounded_dedup_counts_a_device_once_a_day(spark, tmp_path, salts):
+    hour, topic, out = 3600 * 1000, f"{tmp_path}/topic", f"{tmp_path}/seen"
+    for batch in ([page("a", MIDNIGHT)], [page("b", MIDNIGHT + 5 * hour)], [page("a", MIDNIGHT + 7 * hour)],
+                  [page("c", MIDNIGHT + 25 * hour)], [page("a", MIDNIGHT + 23 * hour), page("d", MIDNIGHT + 23 * hour)]):
+        topics.land(write_records(pages(spark, *batch)), topic)
+        seen = jobs.bounded_dedup(topics.read_folder(spark, topic), "1 hour", salts).select("dt", "mid")
+        run(seen.writeStream.format("parquet").option("path", out), tmp_path)
+    got = sorted(map(tuple, spark.read.schema("dt string, mid string").parquet(out).collect()))
+    assert got == [("2024-01-02", "a"), ("2024-01-02", "b"), ("2024-01-02", "d"), ("2024-01-03", "c")]
+
+
+def test_a_new_checkpoint_keeps_the_first_visit(spark, tmp_path):
+    hour, out = 3600 * 1000, f"{tmp_path}/dau"
+    for number, at in enumerate((10, 11)):
+        topics.land(write_records(pages(spark, page("a", MIDNIGHT + at * hour), page(None, MIDNIGHT + at * hour))),
+                    f"{tmp_path}/topic-{number}")
+        run(jobs.dau_job(topics.read_folder(spark, f"{tmp_path}/topic-{number}"), out), tmp_path, f"checkpoint-{number}")
+    got = [(r["mid"], r["ts"]) for r in jobs.read_dau(spark, out, enriched=False).collect()]
+    assert sorted(got, key=str) == [("a", MIDNIGHT + 10 * hour), (None, MIDNIGHT + 10 * hour)]
+
+
+def test_of_several_patches_one_counts(spark):
+    from tradewind.operators.documents import update_by_id
+
+    target = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string")
+    patches = spark.createDataFrame([("1", "x"), ("1", "y"), ("3", "z")], "id string, name string")
+    assert sorted(map(tuple, update_by_id(target, patches).collect())) == [("1", "y"), ("2", "b")]

@@ -23,7 +23,7 @@ JOBS = ("log-split", "change-routing", "dau", "orders")
 
 
 class App:
-    def __init__(self, spark: SparkSession, root: str, servers: str | None, suffix: str, max_disorder: str):
+    def __init__(self, spark: SparkSession, root: str, servers: str | None, suffix: str, max_disorder: str | None = None):
         self.spark, self.root, self.servers = spark, root.rstrip("/"), servers
         self.suffix, self.max_disorder = suffix, max_disorder
 
@@ -44,19 +44,22 @@ class App:
         if job == "log-split":
             lines = self.read(names.ODS_LOG_TOPIC)
             if self.servers:
-                messages = jobs.split_stream(lines)
+                messages = jobs.split_stream(lines, self.suffix)
                 return topics.write_kafka(messages, self.servers, self.folder("checkpoint/log-split"))
-            return jobs.log_split_job(lines, self.folder("log-topics"))
+            return jobs.log_split_job(lines, self.folder("log-topics"), self.suffix)
         if job == "change-routing":
             sink = jobs.kafka_sink(self.servers) if self.servers else jobs.folder_sink(self.folder("fact-topics"))
             ledger = (self.folder("ledger"), "ODS_BASE_DB_GROUP" + self.suffix)
-            return jobs.change_routing_job(self.read(names.ODS_DB_TOPIC), sink, self.folder("dim"), ledger=ledger)
+            return jobs.change_routing_job(self.read(names.ODS_DB_TOPIC), sink, self.folder("dim"), ledger=ledger,
+                                           suffix=self.suffix)
         dimensions = jobs.dimension_reader(self.folder("dim"))
         if job == "dau":
             return jobs.dau_job(self.read(names.PAGE_TOPIC, "log-topics"), self.folder("dau_info"), dimensions)
-        pairs = jobs.join_orders(self.read("DWD_ORDER_INFO_I", "fact-topics"),
-                                 self.read("DWD_ORDER_DETAIL_I", "fact-topics"), self.max_disorder)
-        return jobs.order_job(pairs, self.folder("order_wide"), dimensions)
+        sides = self.read("DWD_ORDER_INFO_I", "fact-topics"), self.read("DWD_ORDER_DETAIL_I", "fact-topics")
+        if self.max_disorder is None:
+            return jobs.stored_order_job(*sides, self.folder("order-sides"), self.folder("order_wide"), dimensions)
+        pairs = jobs.join_orders(*sides, self.max_disorder)
+        return jobs.order_job(pairs, self.folder("order_wide"), dimensions, monthly=True)
 
     def run(self, job: str, available_now: bool = False, interval: str = INTERVAL) -> None:
         finish(start(self.writer(job), self.folder(f"checkpoint/{job}"), available_now, interval, job))
@@ -68,7 +71,7 @@ def main() -> None:
     parser.add_argument("--root", required=True)
     parser.add_argument("--servers")
     parser.add_argument("--suffix", default=names.TOPIC_SUFFIX)
-    parser.add_argument("--max-disorder", default="1 day", help="how late an order or a line item may come")
+    parser.add_argument("--max-disorder", help="join orders by stream state that ends, dropping what is later than this")
     parser.add_argument("--interval", default=INTERVAL)
     parser.add_argument("--available-now", action="store_true", help="work off what is there and stop")
     args = parser.parse_args()

@@ -31,10 +31,11 @@ def append_generated_id(target: DataFrame, new: DataFrame, key: str = "id") -> D
 def update_by_id(target: DataFrame, patches: DataFrame, key: str = "id") -> DataFrame:
     """Replace the fields that a patch sets; fields it leaves null keep their value.
 
-    `patches` has one row per id and any subset of the other columns. Unknown ids are ignored.
+    `patches` has any subset of the other columns; of several patches to one id the largest counts.
+    Unknown ids are ignored.
     """
     fields = [c for c in patches.columns if c != key]
-    patch = patches.select(F.col(key), *[F.col(c).alias(f"_new_{c}") for c in fields])
+    patch = latest_per_key(patches, [key], []).select(F.col(key), *[F.col(c).alias(f"_new_{c}") for c in fields])
     merged = target.join(patch, key, "left")
     return merged.select(*[
         F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in fields else F.col(c)

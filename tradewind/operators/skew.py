@@ -13,28 +13,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HOT_ROWS = 5_000_000
 SALTS = 64
-_COUNTERS = 4096
 ROW_SALT = "_salt"
 PARTNER_SALT = "_partner_salt"
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, limit: int = 256, groups: int = 512) -> list:
-    """Keys that may hold at least `hot_rows` rows, heaviest first.
-
-    One scan of the key column into frequent-items sketches of a few thousand counters each, merged
-    first within `groups` groups of tasks and then into one; at most `limit` values reach the driver,
-    whatever the table's size. Any key above about 1/3000 of the rows is tracked for certain. This runs
-    a job, so callers ask once and pass the list on.
-    """
-    by_group = df.where(F.col(key).isNotNull()).groupBy(F.pmod(F.spark_partition_id(), F.lit(groups)).alias("g")).agg(
-        F.expr(f"approx_top_k_accumulate({key}, {_COUNTERS})").alias("sketch"))
-    merged = by_group.agg(F.expr(f"approx_top_k_combine(sketch, {_COUNTERS})").alias("sketch"))
-    top = merged.select(F.expr(f"inline(approx_top_k_estimate(sketch, {limit}))"))
-    return [r["item"] for r in top.where(F.col("count") >= hot_rows).collect()]
-
-
 def add_row_salt(df: DataFrame, salts: int, when: Column | None = None) -> DataFrame:
     """A salt per row. Equal copies get different salts as they lie in different partitions."""
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts)).cast("int")

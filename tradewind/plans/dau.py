@@ -49,7 +49,7 @@ def enrich(visits: DataFrame, users: DataFrame, provinces: DataFrame, as_of: dat
 
 def funnel_counts(page_logs: DataFrame) -> DataFrame:
     """Rows before the entry filter, after it, and after first-seen deduplication."""
-    before = page_logs.agg(F.count(F.lit(1)).alias("pages"),
-                           F.count_if(F.col("last_page_id").isNull()).alias("entry_pages"))
-    kept = entry_pages(page_logs).select(event_date(F.col("ts")).alias("dt"), "mid").distinct()
-    return before.withColumn("first_visits", kept.agg(F.count(F.lit(1))).scalar())
+    entry = F.col("last_page_id").isNull()
+    visit = F.when(entry, F.struct(event_date(F.col("ts")).alias("dt"), "mid"))
+    return page_logs.agg(F.count(F.lit(1)).alias("pages"), F.count_if(entry).alias("entry_pages"),
+                         F.count_distinct(visit).alias("first_visits"))

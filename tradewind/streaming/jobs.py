@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tradewind import names
 from tradewind.functions.json import read_records
 from tradewind.functions.time import event_date, text_timestamp
-from tradewind.operators.keyed import latest_per_key
+from tradewind.operators.keyed import first_per_key, latest_per_key
 from tradewind.operators.skew import PARTNER_SALT, ROW_SALT, add_all_salts, add_row_salt
 from tradewind.plans import change_routing, dau, log_split, orders
 from tradewind.schemas import (BASE_PROVINCE, DAU_INFO, ORDER_DETAIL, ORDER_INFO_SOURCE, ORDER_WIDE, PAGE_LOG,
@@ -30,17 +30,17 @@ DIM_ROW = T.StructType([T.StructField(n, T.StringType()) for n in ("table", "id"
 FACT = T.StructType([T.StructField("topic", T.StringType()), T.StructField("value", T.StringType())])
 
 
-def split_stream(lines: DataFrame) -> DataFrame:
+def split_stream(lines: DataFrame, suffix: str = names.TOPIC_SUFFIX) -> DataFrame:
     """The raw log as messages of (topic, value), one pass, no state. Every batch's progress reports how
     many messages it made and how many of them are dead letters."""
-    messages = log_split.split_messages(log_split.parse(lines))
-    dead = F.col("topic") == names.topic(names.DEAD_LETTER_TOPIC)
+    messages = log_split.split_messages(log_split.parse(lines), suffix)
+    dead = F.col("topic") == names.topic(names.DEAD_LETTER_TOPIC, suffix)
     return messages.observe("log_split", F.count(F.lit(1)).alias("messages"), F.count_if(dead).alias("dead_letters"))
 
 
-def log_split_job(lines: DataFrame, path: str) -> DataStreamWriter:
+def log_split_job(lines: DataFrame, path: str, suffix: str = names.TOPIC_SUFFIX) -> DataStreamWriter:
     """Split the raw log into a folder per topic. The file sink commits each batch once."""
-    return split_stream(lines).writeStream.format("parquet").partitionBy("topic").option("path", path)
+    return split_stream(lines, suffix).writeStream.format("parquet").partitionBy("topic").option("path", path)
 
 
 def folder_sink(path: str) -> Sink:
@@ -56,7 +56,8 @@ def kafka_sink(servers: str) -> Sink:
 
 def change_routing_job(messages: DataFrame, facts_to: Sink, dim_path: str,
                        control: Callable[[SparkSession], DataFrame] | None = None,
-                       ledger: tuple[str, str] | None = None) -> DataStreamWriter:
+                       ledger: tuple[str, str] | None = None,
+                       suffix: str = names.TOPIC_SUFFIX) -> DataStreamWriter:
     """Route change events: facts and dead letters as messages, dimensions into their table.
 
     `control` gives the table lists of each batch; `ledger` is (path, group). The batch is recorded after
@@ -65,18 +66,20 @@ def change_routing_job(messages: DataFrame, facts_to: Sink, dim_path: str,
 
     def route(batch: DataFrame, batch_id: int) -> None:
         events = change_routing.parse(batch).persist()
-        if control is None:
-            facts, dims = change_routing.fact_route(events), change_routing.dim_route(events)
-        else:
-            facts, dims = change_routing.dynamic_routes(events, control(batch.sparkSession))
-        dead = change_routing.dead_letters(events).select(
-            F.lit(names.topic(names.DEAD_LETTER_TOPIC)).alias("topic"), "value")
-        facts_to(facts.unionByName(dead), batch_id)
-        newest = latest_per_key(dims, ["table", "id"], ["ts", "offset"])
-        write_batch(newest.select(*DIM_ROW.fieldNames()), dim_path, batch_id, partition="table")
-        if ledger:
-            offsets.commit(batch, *ledger, batch_id)
-        events.unpersist()
+        try:
+            if control is None:
+                facts, dims = change_routing.fact_route(events, suffix=suffix), change_routing.dim_route(events)
+            else:
+                facts, dims = change_routing.dynamic_routes(events, control(batch.sparkSession), suffix)
+            dead = change_routing.dead_letters(events).select(
+                F.lit(names.topic(names.DEAD_LETTER_TOPIC, suffix)).alias("topic"), "value")
+            facts_to(facts.unionByName(dead), batch_id)
+            newest = latest_per_key(dims, ["table", "id"], ["ts", "offset"])
+            write_batch(newest.select(*DIM_ROW.fieldNames()), dim_path, batch_id, partition="table")
+            if ledger:
+                offsets.commit(batch, *ledger, batch_id)
+        finally:
+            events.unpersist()
 
     return messages.writeStream.foreachBatch(route)
 
@@ -104,8 +107,9 @@ def dau_job(messages: DataFrame, path: str, dimensions: Dimensions | None = None
             as_of: datetime.date | None = None) -> DataStreamWriter:
     """First visits into the daily table, with dimensions if given.
 
-    The table itself is the state: a device is new for a day if the day's earlier batches do not hold
-    it. Restarts need no restore, any lateness is accepted, and a repeated batch ignores its own rows.
+    The table itself is the state: a device is new for a day if the table does not hold it yet. Restarts
+    need no restore, also with a new checkpoint, any lateness is accepted, and a repeated batch writes only
+    what its first attempt did not.
     Every batch's progress reports the pages before and after the entry filter.
     """
     schema = DAU_VISIT if dimensions is None else DAU_INFO
@@ -115,30 +119,37 @@ def dau_job(messages: DataFrame, path: str, dimensions: Dimensions | None = None
     def dedup(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         visits = dau.first_visits(batch).persist()
-        days = [r["dt"] for r in visits.select("dt").distinct().collect()]
-        seen = read_versions(spark, path, schema).where(F.col("dt").isin(days) & (F.col(BATCH) != batch_id))
-        fresh = dau.not_yet_seen(visits, seen)
-        if dimensions is not None:
-            fresh = dau.enrich(fresh, *dimensions(spark, visits), as_of)
-        write_batch(fresh, path, batch_id)
-        visits.unpersist()
+        try:
+            days = [r["dt"] for r in visits.select("dt").distinct().collect()]
+            seen = read_versions(spark, path, schema).where(F.col("dt").isin(days))
+            fresh = dau.not_yet_seen(visits, seen)
+            if dimensions is not None:
+                fresh = dau.enrich(fresh, *dimensions(spark, visits), as_of)
+            write_batch(fresh, path, batch_id)
+        finally:
+            visits.unpersist()
 
     return pages.writeStream.foreachBatch(dedup)
 
 
 def read_dau(spark: SparkSession, path: str, enriched: bool = True) -> DataFrame:
-    return read_latest(spark, path, DAU_INFO if enriched else DAU_VISIT, dau.KEY)
+    """One row per device and day, the earliest on record."""
+    versions = read_versions(spark, path, DAU_INFO if enriched else DAU_VISIT).drop(BATCH)
+    return first_per_key(versions, dau.KEY, ["ts"])
 
 
 def bounded_dedup(messages: DataFrame, max_disorder: str, salts: int = 8) -> DataFrame:
-    """First-seen rows with state that ends: a device is forgotten `max_disorder` after it was seen.
+    """First-seen rows with state that ends: a device of a day is forgotten a day and `max_disorder` after
+    the day's end.
 
-    For streams whose disorder is known. Rows later than that are dropped. The first of the two steps
-    keeps one row per device, day and salt, so that a busy device's rows are not all sent to one task.
+    For streams whose disorder is known. Rows of days that far back are dropped. State and watermark go by
+    the end of the row's day, as a device counts once a day at whatever hour it comes. The first of the two
+    steps keeps one row per device, day and salt, so that a busy device's rows are not all sent to one task.
     """
     pages = dau.entry_pages(read_records(messages, PAGE_LOG, metric="dau_input"))
-    timed = pages.withColumns({"dt": event_date(F.col("ts")), "event_at": F.timestamp_millis("ts")})
-    timed = timed.withWatermark("event_at", max_disorder)
+    day_end = F.date_trunc("day", F.timestamp_millis("ts")) + F.expr("INTERVAL 1 DAY")
+    timed = pages.withColumns({"dt": event_date(F.col("ts")), "day_end": day_end})
+    timed = timed.withWatermark("day_end", f"24 hours {max_disorder}")
     if salts > 1:
         salted = add_row_salt(timed, salts)
         timed = salted.dropDuplicatesWithinWatermark([*dau.KEY, ROW_SALT]).drop(ROW_SALT)
@@ -169,6 +180,62 @@ def join_orders(order_messages: DataFrame, detail_messages: DataFrame, max_disor
     return joined.selectExpr(*orders.wide_columns(joined.columns))
 
 
+def stored_order_job(order_messages: DataFrame, detail_messages: DataFrame, state: str, path: str,
+                     dimensions: Dimensions, as_of: datetime.date | None = None,
+                     retention: datetime.timedelta = orders.RETENTION) -> DataStreamWriter:
+    """Orders and line items joined whatever their disorder: both sides are kept in month folders below
+    `state`, and each batch joins its orders with all line items on record and its line items with all
+    orders, within the retention of each other. No watermark drops a row.
+
+    A batch opens only the folders of its own months and their neighbours. A repeated batch, or a pair that
+    both joins find, counts once when the table is read.
+    """
+    def sided(messages: DataFrame, side: str) -> DataFrame:
+        return messages.select(F.lit(side).alias("side"), "value")
+
+    def month(created: str):
+        return F.substring(created, 1, 7)
+
+    def stored(spark: SparkSession, side: str, schema: T.StructType, months: list[str]) -> DataFrame:
+        full = T.StructType([*schema.fields, T.StructField("month", T.StringType())])
+        rows = read_versions(spark, f"{state}/{side}", full).where(F.col("month").isin(months))
+        return latest_per_key(rows, ["id"], [BATCH]).select(*schema.fieldNames())
+
+    def join(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # As many months as the retention may reach to either side.
+        reach = F.lit(int(retention.total_seconds() // 86400) + 1)
+        new = {}
+        try:
+            for side, schema in (("orders", ORDER_INFO_SOURCE), ("details", ORDER_DETAIL)):
+                rows = read_records(batch.where(F.col("side") == side), schema)
+                new[side] = rows.where(text_timestamp(F.col("create_time")).isNotNull()).persist()
+                write_batch(new[side].withColumn("month", month("create_time")), f"{state}/{side}", batch_id, "month")
+            day = [new[side].select(F.to_date(text_timestamp(F.col("create_time"))).alias("day")) for side in new]
+            near = day[0].union(day[1]).select(F.explode(F.array(
+                F.date_sub("day", reach), "day", F.date_add("day", reach))).alias("day"))
+            months = [r[0] for r in near.select(F.date_format("day", "yyyy-MM").alias("month")).distinct().collect()]
+            if not months:
+                return
+            pairs = orders.order_wide(
+                latest_per_key(orders.with_create_parts(new["orders"]), ["id"], []),
+                stored(spark, "details", ORDER_DETAIL, months), retention).unionByName(orders.order_wide(
+                    orders.with_create_parts(stored(spark, "orders", ORDER_INFO_SOURCE, months)),
+                    latest_per_key(new["details"], ["id"], []), retention)).distinct().persist()
+            try:
+                users, provinces = dimensions(spark, pairs)
+                wide = orders.with_dimensions(pairs, users, provinces, as_of).select(*ORDER_WIDE.fieldNames())
+                write_batch(wide.withColumn("create_month", month("create_date")), path, batch_id, "create_month")
+            finally:
+                pairs.unpersist()
+        finally:
+            for rows in new.values():
+                rows.unpersist()
+
+    both = sided(order_messages, "orders").unionByName(sided(detail_messages, "details"))
+    return both.writeStream.foreachBatch(join)
+
+
 def order_job(pairs: DataFrame, path: str, dimensions: Dimensions, as_of: datetime.date | None = None,
               monthly: bool = False) -> DataStreamWriter:
     """Joined pairs, enriched with the newest dimensions, into the table of the order's day.
@@ -178,15 +245,16 @@ def order_job(pairs: DataFrame, path: str, dimensions: Dimensions, as_of: dateti
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
-        if held.count() == 0:  # also fills the cache, whose size then decides the joins below
+        try:
+            if held.count() == 0:  # also fills the cache, whose size then decides the joins below
+                return
+            users, provinces = dimensions(batch.sparkSession, held)
+            wide = orders.with_dimensions(held, users, provinces, as_of).select(*ORDER_WIDE.fieldNames())
+            if monthly:
+                wide = wide.withColumn("create_month", F.substring("create_date", 1, 7))
+            write_batch(wide, path, batch_id, "create_month" if monthly else "create_date")
+        finally:
             held.unpersist()
-            return
-        users, provinces = dimensions(batch.sparkSession, held)
-        wide = orders.with_dimensions(held, users, provinces, as_of).select(*ORDER_WIDE.fieldNames())
-        if monthly:
-            wide = wide.withColumn("create_month", F.substring("create_date", 1, 7))
-        write_batch(wide, path, batch_id, "create_month" if monthly else "create_date")
-        held.unpersist()
 
     return pairs.writeStream.foreachBatch(enrich)
 

@@ -1,11 +1,13 @@
 """Toxicity by compression distance: windows of a text are compressed with a dictionary of toxic text and with
 one of ordinary text, and the bytes that the toxic one saves decide.
 
-Both dictionaries end in the same stretch of frequent ordinary words. Before it, the toxic one has the words
-that mark toxic documents, the ordinary one as many bytes of other ordinary words; so they differ only in what
-tells the classes apart. They are content dictionaries: zstandard's own trainer picks by frequency alone, finds
-few of the marking words and separated the labels hardly better than chance (area under the curve 0.63 against
-0.99 here). Windows go with a compressible stretch before them, as zstandard otherwise stores short input as it is.
+A word is compressed as two hash codes, one of its beginning and one of itself, so that a match is a whole word
+or a whole beginning and never a chance stretch of letters; inflected and compound words share the first code.
+Both dictionaries end in the same frequent ordinary words. Before them, the toxic one has the beginnings and
+words that mark toxic documents, the ordinary one as many bytes of other ordinary words; so they differ only in
+what tells the classes apart. They are content dictionaries: zstandard's own trainer picks by frequency alone,
+finds few of the marking words and separated the labels hardly better than chance (area under the curve 0.63).
+Windows go with a compressible stretch before them, as zstandard otherwise stores short input as it is.
 
 Fitting takes a bounded sample: at most about `sample` labelled documents of each class and part, two thirds of
 them for the dictionaries and the others for the calibration. Only words and per-document savings reach the driver.
@@ -22,20 +24,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import bounded_sample, small_batches
+from tradewind.llm.common import bounded_sample, settle, small_batches
 
-WINDOW = 256
+# Words of a window, letters of a word's beginning, and the words whose codes a worker remembers.
+WINDOW_WORDS = 32
+BEGINNING = 4
+REMEMBERED, LONG_WORD = 1 << 17, 64
 SAMPLE = 2000
 ORDINARY_WORDS = 8000
 MARK_WORDS = 400
-# A marking word: this share of toxic documents has it, this much more often than ordinary ones, beyond chance.
-MARK_SHARE, MARK_SIGMA, MARK_LENGTH = 0.02, 5.0, 3
+# A mark: this share of toxic documents has it, and more often than ordinary ones by so many standard errors.
+MARK_SHARE, MARK_SIGMA = 0.01, 5.0
+# A beginning is written with this before it where it is counted beside words.
+AT_START = "^"
 # No entropy coding (strategy fast with a target length), so that savings are whole matches.
-PARAMETERS = {"window_log": 19, "hash_log": 16, "chain_log": 16, "search_log": 1, "min_match": 5,
+PARAMETERS = {"window_log": 19, "hash_log": 18, "chain_log": 18, "search_log": 1, "min_match": 5,
               "strategy": zstandard.STRATEGY_FAST, "target_length": 1, "write_content_size": False,
               "write_checksum": False, "write_dict_id": False, "format": zstandard.FORMAT_ZSTD1_MAGICLESS}
 LETTERS = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
@@ -56,14 +64,20 @@ def plain(text: str | None) -> bytes:
     return b" ".join((text or "").lower().encode().translate(LETTERS).split())
 
 
-def windows(line: bytes):
-    at = 0
-    while at < len(line):
-        stop = at + WINDOW
-        if stop < len(line):
-            stop = max(line.rfind(b" ", at + 1, stop + 1), 0) or stop
-        yield line[at:stop]
-        at = stop
+def beginning_code(start: str) -> bytes:
+    return xxhash.xxh64_digest(start.encode(), 1)
+
+
+def _code(word: bytes) -> bytes:
+    """The word as it is compressed: the code of its beginning, then its own."""
+    return beginning_code(word.decode(errors="ignore")[:BEGINNING]) + xxhash.xxh64_digest(word, 2)
+
+
+_remembered_code = functools.lru_cache(maxsize=REMEMBERED)(_code)
+
+
+def coded(words: list[bytes]) -> bytes:
+    return b"".join([_remembered_code(word) if len(word) <= LONG_WORD else _code(word) for word in words])
 
 
 @functools.lru_cache(maxsize=4)
@@ -81,8 +95,9 @@ def savings(text: str | None, model: Model) -> tuple[float, float, float]:
     """Bytes that the toxic dictionary saves: mean of the gains, mean, and most in a window."""
     toxic, ordinary = _compressors(model.toxic, model.ordinary)
     total = gains = most = count = 0
-    for window in windows(plain(text)):
-        data = model.start + window
+    words = plain(text).split()
+    for at in range(0, len(words), WINDOW_WORDS):
+        data = model.start + coded(words[at:at + WINDOW_WORDS])
         saved = len(ordinary.compress(data)) - len(toxic.compress(data))
         total += saved
         gains += max(saved, 0)
@@ -124,20 +139,21 @@ def _map_texts(docs: DataFrame, columns: list[str], made, schema: str) -> DataFr
     return docs.select(*columns, "text").mapInArrow(run, ", ".join([*types, schema]))
 
 
-def _word_counts(sample: DataFrame) -> DataFrame:
-    """(word, toxic, ordinary): documents of each class that have the word."""
+def _unit_counts(sample: DataFrame) -> DataFrame:
+    """(unit, toxic, ordinary): documents of each class that have the word or the beginning."""
     def run(batches):
         for batch in batches:
-            words, labels = [], []
+            units, labels = [], []
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = set(plain(text).split())
-                words += [word.decode(errors="ignore") for word in own]
+                words = {word.decode(errors="ignore") for word in plain(text).split()}
+                own = words | {AT_START + word[:BEGINNING] for word in words if len(word) >= BEGINNING}
+                units += own
                 labels += [label] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(labels, pa.int32())],
-                                             ["word", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array(labels, pa.int32())],
+                                             ["unit", "label"])
 
-    rows = sample.select("text", F.col("label").cast("int").alias("label")).mapInArrow(run, "word string, label int")
-    return rows.groupBy("word").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary"))
+    rows = sample.select("text", F.col("label").cast("int").alias("label")).mapInArrow(run, "unit string, label int")
+    return rows.groupBy("unit").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary"))
 
 
 def _dictionaries(sample: DataFrame) -> tuple[bytes, bytes, bytes] | None:
@@ -145,21 +161,23 @@ def _dictionaries(sample: DataFrame) -> tuple[bytes, bytes, bytes] | None:
     many, few = sizes.get(0, 0), sizes.get(1, 0)
     if not many or not few:
         return None
-    counts = _word_counts(sample)
     share, rest = F.col("toxic") / few, F.col("ordinary") / many
     pooled = (F.col("toxic") + F.col("ordinary")) / (few + many)
     sigma = (share - rest) / F.sqrt(pooled * (1 - pooled) * (1 / few + 1 / many) + 1e-12)
-    rated = counts.select("word", "ordinary", sigma.alias("sigma"),
-                          ((share >= MARK_SHARE) & (sigma >= MARK_SIGMA) & (F.length("word") >= MARK_LENGTH)).alias("mark"))
-    marks = [row["word"].encode() for row in
-             rated.where("mark").orderBy(F.desc("sigma"), "word").limit(MARK_WORDS).collect()]
-    common = [row["word"].encode() for row in
-              rated.where("not mark").orderBy(F.desc("ordinary"), "word").limit(2 * ORDINARY_WORDS).collect()]
+    rated = settle(_unit_counts(sample).select(
+        "unit", "ordinary", sigma.alias("sigma"), ((share >= MARK_SHARE) & (sigma >= MARK_SIGMA)).alias("mark")),
+        "toxicity-units")
+    marks = [row["unit"] for row in rated.where("mark").orderBy(F.desc("sigma"), "unit").limit(MARK_WORDS).collect()]
+    common = [row["unit"] for row in rated.where(~F.col("mark") & ~F.col("unit").startswith(AT_START)).orderBy(
+        F.desc("ordinary"), "unit").limit(2 * ORDINARY_WORDS).collect()]
+    codes = [_code(word.encode()) for word in common]
     # What stands nearest to the end is found first and costs least.
-    shared = b" ".join(reversed(common[:ORDINARY_WORDS])) or b" "
-    toxic = b" " + b" ".join(reversed(marks)) + b" "
-    other = (b" ".join(reversed(common[ORDINARY_WORDS:])) or shared)[-len(toxic) + 1:] + b" "
-    return toxic + shared, other + shared, shared[-100:] + b" "
+    shared = b"".join(reversed(codes[:ORDINARY_WORDS])) or b" " * 16
+    toxic = b"".join([beginning_code(mark[1:]) if mark.startswith(AT_START) else _code(mark.encode())
+                      for mark in reversed(marks)])
+    other = b"".join(reversed(codes[ORDINARY_WORDS:])) or shared
+    other = (other * (len(toxic) // len(other) + 1))[-len(toxic):] if toxic else b""
+    return toxic + shared, other + shared, shared[-96:]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:

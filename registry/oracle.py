@@ -295,6 +295,10 @@ ORACLE: dict[str, str] = {
         FROM (SELECT group_id, topic, '"' || topic || '":{' || string_agg('"' || partition || '":' || next_offset,
                      ',' ORDER BY partition) || '}' AS positions FROM ledger GROUP BY group_id, topic)
         GROUP BY group_id"""),
+    "offset_resume_rest": _sql("""
+        SELECT 'ODS_BASE_LOG' AS topic, 'ODS_BASE_LOG_GROUP' AS group_id, CAST(event_id % 4 AS INTEGER) AS partition,
+               count(*) AS messages, min(event_id // 4) AS first_offset, max(event_id // 4) AS last_offset
+        FROM events WHERE event_id // 4 >= 100 GROUP BY event_id % 4"""),
     "stream_log_split": _sql("""
         SELECT topic, count(*) AS messages, min(ts) AS first_ts, max(ts) AS last_ts FROM message GROUP BY topic"""),
     "stream_change_routing": _sql("""

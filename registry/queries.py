@@ -426,6 +426,17 @@ def offset_resume(spark, sf_dir):
     return offsets.starting_offsets(offsets.committed(spark, path))
 
 
+@query
+def offset_resume_rest(spark, sf_dir):
+    """A reader stops before the message at offset 100 of each partition; what a new one then reads from the ledger on."""
+    path = new_folder(spark, "ledger")
+    messages = derived.log_offsets(spark, sf_dir)
+    offsets.commit(messages.where(F.col("offset") < 100), path, "ODS_BASE_LOG_GROUP", 0)
+    rest = offsets.not_yet_read(messages, offsets.committed(spark, path))
+    return rest.groupBy(*offsets.KEY).agg(F.count(F.lit(1)).alias("messages"), F.min("offset").alias("first_offset"),
+                                          F.max("offset").alias("last_offset"))
+
+
 # --- streams -----------------------------------------------------------------------------------------
 
 def _lines_topic(spark: SparkSession, sf_dir: str) -> str:
@@ -439,6 +450,17 @@ def _page_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("ts", F.to_json(F.struct(*pages.columns)).alias("value"))
 
 
+def _page_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page messages of the month in four parts, oldest first, each a micro-batch or more."""
+    topic = new_folder(spark, "page-topic")
+    messages = _page_messages(spark, sf_dir)
+    begin = [datetime.datetime(2024, 1, day, tzinfo=datetime.timezone.utc).timestamp() * 1000 for day in (9, 17, 25)]
+    part = sum((F.col("ts") >= int(at)).cast("int") for at in begin)
+    for number in range(4):
+        topics.land(messages.where(part == number).coalesce(1), f"{topic}/{number}")
+    return topics.read_folder(spark, f"{topic}/*", files_per_trigger=1)
+
+
 def _run(spark: SparkSession, writer, label: str) -> None:
     finish(start(writer, new_folder(spark, label), available_now=True))
 
@@ -470,27 +492,24 @@ def stream_change_routing(spark, sf_dir):
 
 @query
 def stream_dau_dedup(spark, sf_dir):
-    topic, out = new_folder(spark, "page-topic"), new_folder(spark, "dau")
-    topics.land(_page_messages(spark, sf_dir), topic)
-    _run(spark, jobs.dau_job(topics.read_folder(spark, topic), out), "dau-checkpoint")
+    out = new_folder(spark, "dau")
+    _run(spark, jobs.dau_job(_page_topic(spark, sf_dir), out), "dau-checkpoint")
     return jobs.read_dau(spark, out, enriched=False)
 
 
 @query
 def stream_dau_dedup_bounded(spark, sf_dir):
     """The variant with bounded state: which devices were seen on which day."""
-    topic, out = new_folder(spark, "page-topic"), new_folder(spark, "dau-bounded")
-    topics.land(_page_messages(spark, sf_dir), topic)
-    seen = jobs.bounded_dedup(topics.read_folder(spark, topic), "1 hour").select("dt", "mid")
+    out = new_folder(spark, "dau-bounded")
+    seen = jobs.bounded_dedup(_page_topic(spark, sf_dir), "1 hour").select("dt", "mid")
     _run(spark, seen.writeStream.format("parquet").option("path", out), "dau-bounded-checkpoint")
     return spark.read.schema("dt string, mid string").parquet(out)
 
 
 @query
 def stream_dau_wide(spark, sf_dir):
-    topic, out = new_folder(spark, "page-topic"), new_folder(spark, "dau-wide")
-    topics.land(_page_messages(spark, sf_dir), topic)
-    job = jobs.dau_job(topics.read_folder(spark, topic), out, lambda s, rows: _dims(s, sf_dir), AS_OF)
+    out = new_folder(spark, "dau-wide")
+    job = jobs.dau_job(_page_topic(spark, sf_dir), out, lambda s, rows: _dims(s, sf_dir), AS_OF)
     _run(spark, job, "dau-wide-checkpoint")
     return jobs.read_dau(spark, out)
 

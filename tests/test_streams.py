@@ -218,3 +218,34 @@ def test_of_several_patches_one_counts(spark):
     target = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string")
     patches = spark.createDataFrame([("1", "x"), ("1", "y"), ("3", "z")], "id string, name string")
     assert sorted(map(tuple, update_by_id(target, patches).collect())) == [("1", "y"), ("2", "b")]
+
+
+def test_incomplete_pages_go_to_the_dead_letters(spark, tmp_path):
+    topic, out, dead = (f"{tmp_path}/{n}" for n in ("topic", "dau", "dead"))
+    good = write_records(pages(spark, page("a", MIDNIGHT), page(None, MIDNIGHT), page("b", None)))
+    topics.land(good.union(spark.createDataFrame([("{broken",), (None,)], "value string")).coalesce(1), topic)
+    job = jobs.dau_job(topics.read_folder(spark, topic), out, dead_to=jobs.folder_sink(dead))
+    seen = run(job, tmp_path).lastProgress["observedMetrics"]
+    assert seen["dau_funnel"].asDict() == {"pages": 1, "entry_pages": 1}
+    assert [r["mid"] for r in jobs.read_dau(spark, out, enriched=False).collect()] == ["a"]
+    values = {r["value"] for r in tables.read_versions(spark, dead, jobs.FACT).collect()}
+    assert len(values) == 4 and {"{broken", ""} < values
+
+
+def test_incomplete_orders_go_to_the_dead_letters(spark, tmp_path):
+    order_topic, detail_topic, out, dead = (f"{tmp_path}/{n}" for n in ("orders", "details", "wide", "dead"))
+    broken = spark.createDataFrame([("{broken",), ('{"id": 7}',)], "value string")
+    topics.land(write_records(make_orders(spark, (1, text()))).union(broken), order_topic)
+    topics.land(write_records(make_details(spark, (10, 1, text()))).union(broken), detail_topic)
+    streams = [topics.read_folder(spark, topic) for topic in (order_topic, detail_topic)]
+    run(jobs.stored_order_job(*streams, f"{tmp_path}/sides", out, dims, datetime.date(2024, 6, 30),
+                              dead_to=jobs.folder_sink(dead)), tmp_path)
+    assert [r["detail_id"] for r in jobs.read_orders(spark, out, monthly=True).collect()] == [10]
+    assert sorted(r["value"] for r in tables.read_versions(spark, dead, jobs.FACT).collect()) == ['{"id": 7}'] * 2 + ["{broken"] * 2
+
+
+def test_positions_of_a_group(spark, tmp_path):
+    messages = spark.createDataFrame([("t", 0, 4), ("t", 1, 9), ("t", 0, 5)], "topic string, partition int, offset long")
+    offsets.commit(messages, f"{tmp_path}/ledger", "g", 0)
+    assert offsets.positions(spark, f"{tmp_path}/ledger", "g") == {"t": {0: 6, 1: 10}}
+    assert offsets.positions(spark, f"{tmp_path}/ledger", "other") == {} == offsets.positions(spark, f"{tmp_path}/none", "g")

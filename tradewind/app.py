@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tradewind import names
 from tradewind.schemas import record
 from tradewind.session import build_session
-from tradewind.sources import topics
+from tradewind.sources import offsets, topics
 from tradewind.streaming import jobs
 from tradewind.streaming.runner import INTERVAL, finish, start
 
@@ -23,23 +23,30 @@ JOBS = ("log-split", "change-routing", "dau", "orders")
 
 
 class App:
-    def __init__(self, spark: SparkSession, root: str, servers: str | None, suffix: str, max_disorder: str | None = None):
+    def __init__(self, spark: SparkSession, root: str, servers: str | None, suffix: str, max_disorder: str | None = None,
+                 control: str | None = None):
         self.spark, self.root, self.servers = spark, root.rstrip("/"), servers
-        self.suffix, self.max_disorder = suffix, max_disorder
+        self.suffix, self.max_disorder, self.control = suffix, max_disorder, control
 
     def folder(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, base: str, written_by: str | None = None) -> DataFrame:
-        """The stream of a topic; in folders the topics of one job share that job's output folder."""
+    def read(self, base: str, written_by: str | None = None, ledger: tuple[str, str] | None = None) -> DataFrame:
+        """The stream of a topic; in folders the topics of one job share that job's output folder. A new Kafka
+        query starts where the ledger (path, group) ends."""
         topic = names.topic(base, self.suffix)
         if self.servers:
-            return topics.read_kafka(self.spark, topics.kafka_options(self.servers, topic))
+            start = offsets.positions(self.spark, *ledger) if ledger else None
+            return topics.read_kafka(self.spark, topics.kafka_options(self.servers, topic, start))
         schema = record("value topic")
         if written_by is None:
             return topics.read_folder(self.spark, self.folder(topic), record("topic partition:int offset:long value"))
         return topics.read_folder(self.spark, self.folder(written_by), schema).where(F.col("topic") == topic)
 
+    def table_lists(self, spark: SparkSession) -> DataFrame:
+        """(role, table_name) as the control folder has it when a batch begins."""
+        return spark.read.schema(record("role table_name")).parquet(self.control)
+
     def writer(self, job: str):
         if job == "log-split":
             lines = self.read(names.ODS_LOG_TOPIC)
@@ -50,14 +57,17 @@ class App:
         if job == "change-routing":
             sink = jobs.kafka_sink(self.servers) if self.servers else jobs.folder_sink(self.folder("fact-topics"))
             ledger = (self.folder("ledger"), "ODS_BASE_DB_GROUP" + self.suffix)
-            return jobs.change_routing_job(self.read(names.ODS_DB_TOPIC), sink, self.folder("dim"), ledger=ledger,
-                                           suffix=self.suffix)
+            return jobs.change_routing_job(self.read(names.ODS_DB_TOPIC, ledger=ledger), sink, self.folder("dim"),
+                                           self.table_lists if self.control else None, ledger, self.suffix)
         dimensions = jobs.dimension_reader(self.folder("dim"))
+        dead = jobs.kafka_sink(self.servers) if self.servers else jobs.folder_sink(self.folder(f"{job}-dead-letters"))
         if job == "dau":
-            return jobs.dau_job(self.read(names.PAGE_TOPIC, "log-topics"), self.folder("dau_info"), dimensions)
+            return jobs.dau_job(self.read(names.PAGE_TOPIC, "log-topics"), self.folder("dau_info"), dimensions,
+                                dead_to=dead, suffix=self.suffix)
         sides = self.read("DWD_ORDER_INFO_I", "fact-topics"), self.read("DWD_ORDER_DETAIL_I", "fact-topics")
         if self.max_disorder is None:
-            return jobs.stored_order_job(*sides, self.folder("order-sides"), self.folder("order_wide"), dimensions)
+            return jobs.stored_order_job(*sides, self.folder("order-sides"), self.folder("order_wide"), dimensions,
+                                         dead_to=dead, suffix=self.suffix)
         pairs = jobs.join_orders(*sides, self.max_disorder)
         return jobs.order_job(pairs, self.folder("order_wide"), dimensions, monthly=True)
 
@@ -72,11 +82,12 @@ def main() -> None:
     parser.add_argument("--servers")
     parser.add_argument("--suffix", default=names.TOPIC_SUFFIX)
     parser.add_argument("--max-disorder", help="join orders by stream state that ends, dropping what is later than this")
+    parser.add_argument("--control", help="Parquet folder of (role, table_name), role fact or dim, read anew for every batch")
     parser.add_argument("--interval", default=INTERVAL)
     parser.add_argument("--available-now", action="store_true", help="work off what is there and stop")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
-    app = App(build_session(args.job), args.root, args.servers, args.suffix, args.max_disorder)
+    app = App(build_session(args.job), args.root, args.servers, args.suffix, args.max_disorder, args.control)
     app.run(args.job, args.available_now, args.interval)
 
 

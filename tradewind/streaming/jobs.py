@@ -27,6 +27,8 @@ Dimensions = Callable[[SparkSession, DataFrame], tuple[DataFrame, DataFrame]]
 DAU_VISIT = T.StructType([*PAGE_LOG.fields, T.StructField("dt", T.StringType())])
 DIM_ROW = T.StructType([T.StructField(n, T.StringType()) for n in ("table", "id", "dim_key", "op", "data")]
                        + [T.StructField("ts", T.LongType()), T.StructField("offset", T.LongType())])
+# Holds the text of a message that is no complete record.
+REJECTED = "rejected"
 FACT = T.StructType([T.StructField("topic", T.StringType()), T.StructField("value", T.StringType())])
 
 
@@ -54,6 +56,15 @@ def kafka_sink(servers: str) -> Sink:
     return send
 
 
+def _set_aside(batch: DataFrame, dead_to: Sink, batch_id: int, suffix: str) -> DataFrame:
+    """Send the rejected messages of a batch to the dead letters; gives the other rows."""
+    dead = batch.where(F.col(REJECTED).isNotNull())
+    if not dead.isEmpty():
+        topic = F.lit(names.topic(names.DEAD_LETTER_TOPIC, suffix))
+        dead_to(dead.select(topic.alias("topic"), F.col(REJECTED).alias("value")), batch_id)
+    return batch.where(F.col(REJECTED).isNull()).drop(REJECTED)
+
+
 def change_routing_job(messages: DataFrame, facts_to: Sink, dim_path: str,
                        control: Callable[[SparkSession], DataFrame] | None = None,
                        ledger: tuple[str, str] | None = None,
@@ -104,19 +115,36 @@ def dimension_reader(dim_path: str) -> Dimensions:
 
 
 def dau_job(messages: DataFrame, path: str, dimensions: Dimensions | None = None,
-            as_of: datetime.date | None = None) -> DataStreamWriter:
+            as_of: datetime.date | None = None, dead_to: Sink | None = None,
+            suffix: str = names.TOPIC_SUFFIX) -> DataStreamWriter:
     """First visits into the daily table, with dimensions if given.
 
     The table itself is the state: a device is new for a day if the table does not hold it yet. Restarts
     need no restore, also with a new checkpoint, any lateness is accepted, and a repeated batch writes only
     what its first attempt did not.
     Every batch's progress reports the pages before and after the entry filter.
+    `dead_to` takes the messages that are unreadable or lack the device or the time; without it, unreadable ones
+    are counted in the progress and left out.
     """
     schema = DAU_VISIT if dimensions is None else DAU_INFO
-    pages = read_records(messages, PAGE_LOG, metric="dau_input").observe(
-        "dau_funnel", F.count(F.lit(1)).alias("pages"), F.count_if(F.col("last_page_id").isNull()).alias("entry_pages"))
+    pages = read_records(messages, PAGE_LOG, metric="dau_input",
+                         complete=F.col("mid").isNotNull() & F.col("ts").isNotNull(),
+                         rejected=REJECTED if dead_to else None)
+    good = F.col(REJECTED).isNull() if dead_to else F.lit(True)
+    pages = pages.observe("dau_funnel", F.count_if(good).alias("pages"),
+                          F.count_if(good & F.col("last_page_id").isNull()).alias("entry_pages"))
 
     def dedup(batch: DataFrame, batch_id: int) -> None:
+        if dead_to is None:
+            add_visits(batch, batch_id)
+            return
+        held = batch.persist()
+        try:
+            add_visits(_set_aside(held, dead_to, batch_id, suffix), batch_id)
+        finally:
+            held.unpersist()
+
+    def add_visits(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         visits = dau.first_visits(batch).persist()
         try:
@@ -182,14 +210,19 @@ def join_orders(order_messages: DataFrame, detail_messages: DataFrame, max_disor
 
 def stored_order_job(order_messages: DataFrame, detail_messages: DataFrame, state: str, path: str,
                      dimensions: Dimensions, as_of: datetime.date | None = None,
-                     retention: datetime.timedelta = orders.RETENTION) -> DataStreamWriter:
+                     retention: datetime.timedelta = orders.RETENTION, dead_to: Sink | None = None,
+                     suffix: str = names.TOPIC_SUFFIX) -> DataStreamWriter:
     """Orders and line items joined whatever their disorder: both sides are kept in month folders below
     `state`, and each batch joins its orders with all line items on record and its line items with all
     orders, within the retention of each other. No watermark drops a row.
 
     A batch opens only the folders of its own months and their neighbours. A repeated batch, or a pair that
-    both joins find, counts once when the table is read.
+    both joins find, counts once when the table is read. `dead_to` takes the messages that are unreadable or
+    lack an id or a time of creation; without it they are left out.
     """
+    timed = text_timestamp(F.col("create_time")).isNotNull() & F.col("id").isNotNull()
+    complete = {"orders": timed, "details": timed & F.col("order_id").isNotNull()}
+
     def sided(messages: DataFrame, side: str) -> DataFrame:
         return messages.select(F.lit(side).alias("side"), "value")
 
@@ -205,12 +238,17 @@ def stored_order_job(order_messages: DataFrame, detail_messages: DataFrame, stat
         spark = batch.sparkSession
         # As many months as the retention may reach to either side.
         reach = F.lit(int(retention.total_seconds() // 86400) + 1)
-        new = {}
+        new, held = {}, []
         try:
             for side, schema in (("orders", ORDER_INFO_SOURCE), ("details", ORDER_DETAIL)):
-                rows = read_records(batch.where(F.col("side") == side), schema)
-                new[side] = rows.where(text_timestamp(F.col("create_time")).isNotNull()).persist()
+                rows = read_records(batch.where(F.col("side") == side), schema, complete=complete[side],
+                                    rejected=REJECTED).persist()
+                held.append(rows)
+                new[side] = rows.where(F.col(REJECTED).isNull()).drop(REJECTED)
                 write_batch(new[side].withColumn("month", month("create_time")), f"{state}/{side}", batch_id, "month")
+            if dead_to is not None:
+                rejects = held[0].select(REJECTED).unionByName(held[1].select(REJECTED))
+                _set_aside(rejects, dead_to, batch_id, suffix)
             day = [new[side].select(F.to_date(text_timestamp(F.col("create_time"))).alias("day")) for side in new]
             near = day[0].union(day[1]).select(F.explode(F.array(
                 F.date_sub("day", reach), "day", F.date_add("day", reach))).alias("day"))
@@ -229,7 +267,7 @@ def stored_order_job(order_messages: DataFrame, detail_messages: DataFrame, stat
             finally:
                 pairs.unpersist()
         finally:
-            for rows in new.values():
+            for rows in held:
                 rows.unpersist()
 
     both = sided(order_messages, "orders").unionByName(sided(detail_messages, "details"))

@@ -147,6 +147,24 @@ def test_toxicity_learns_marking_words(spark, edge, empty):
     assert {r["score"] for r in toxicity.toxicity(edge, None, ["doc_id"]).collect()} == {0.0}
 
 
+def test_toxicity_learns_beginnings(spark):
+    """Marks that never come up as the same word twice: only their beginning is shared."""
+    rng = np.random.default_rng(4)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    texts, labels = [], []
+    for i in range(600):
+        words = ["".join(rng.choice(["ba", "ko", "ri", "tu", "ne", "sa"], rng.integers(1, 4))) for _ in range(60)]
+        if i % 4 == 0:
+            for at in rng.integers(0, 60, 4):
+                words[at] = "\u00e9vejx" + "".join(rng.choice(letters, 5))
+        texts.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels[:450], "doc_id long, label int"))
+    got = toxicity.toxicity(docs.where("doc_id >= 450"), model, ["doc_id"]).collect()
+    assert np.mean([r["predicted"] == int(r["doc_id"] % 4 == 0) for r in got]) >= 0.95
+
+
 def test_shards_are_contiguous_and_near_equal(spark, edge, empty):
     got = sharding.byte_shards(edge, 4).orderBy("shard", "slot").collect()
     texts = {r["doc_id"]: r["text"] for r in edge.collect()}

@@ -168,16 +168,21 @@ def _dictionaries(sample: DataFrame) -> tuple[bytes, bytes, bytes] | None:
         "unit", "ordinary", sigma.alias("sigma"), ((share >= MARK_SHARE) & (sigma >= MARK_SIGMA)).alias("mark")),
         "toxicity-units")
     marks = [row["unit"] for row in rated.where("mark").orderBy(F.desc("sigma"), "unit").limit(MARK_WORDS).collect()]
-    common = [row["unit"] for row in rated.where(~F.col("mark") & ~F.col("unit").startswith(AT_START)).orderBy(
+    common = [row["unit"] for row in rated.where(
+        ~F.col("mark") & (F.col("ordinary") > 0) & ~F.col("unit").startswith(AT_START)).orderBy(
         F.desc("ordinary"), "unit").limit(2 * ORDINARY_WORDS).collect()]
-    codes = [_code(word.encode()) for word in common]
+    # A rare ordinary word with a marked beginning would take that mark's match from the toxic dictionary alone.
+    marked = {mark[1:] for mark in marks if mark.startswith(AT_START)}
+    codes = [_code(word.encode()) for word in common if word[:BEGINNING] not in marked]
     # What stands nearest to the end is found first and costs least.
     shared = b"".join(reversed(codes[:ORDINARY_WORDS])) or b" " * 16
     toxic = b"".join([beginning_code(mark[1:]) if mark.startswith(AT_START) else _code(mark.encode())
                       for mark in reversed(marks)])
     other = b"".join(reversed(codes[ORDINARY_WORDS:])) or shared
     other = (other * (len(toxic) // len(other) + 1))[-len(toxic):] if toxic else b""
-    return toxic + shared, other + shared, shared[-96:]
+    # zstandard finds no match at a dictionary's very start.
+    lead = b" " * 16
+    return lead + toxic + shared, lead + other + shared, shared[-96:]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:

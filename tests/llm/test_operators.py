@@ -124,6 +124,32 @@ def test_near_duplicates_keep_one_of_each_group(spark, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def edited(kind, similarity, rng, words=100):
+    """A text and its copy with scattered words changed or a passage more, at just the similarity or above it."""
+    text = [f"w{i}" for i in rng.zipf(1.3, words) % 5000]
+    copy = text.copy()
+    for at in rng.permutation(words).tolist() if kind == "scattered" else range(words):
+        last = copy.copy()
+        if kind == "scattered":
+            copy[at] = f"n{rng.integers(1 << 40)}"
+        else:
+            copy.append(f"n{rng.integers(1 << 40)}")
+        if jaccard(text, copy) < similarity:
+            return " ".join(text), " ".join(last)
+
+
+def jaccard(one, other):
+    one, other = ({tuple(x[i:i + 5]) for i in range(max(1, len(x) - 4))} for x in (one, other))
+    return len(one & other) / len(one | other)
+
+
+@pytest.mark.parametrize("kind", ["scattered", "block"])
+def test_near_duplicates_of_either_kind_of_edit_are_found(spark, kind):
+    rng = np.random.default_rng(6)
+    texts = [text for similarity in (0.8, 0.85, 0.9) for _ in range(60) for text in edited(kind, similarity, rng)]
+    assert simhash.near_duplicates(spark.createDataFrame(rows(texts), SCHEMA)).count() == len(texts) // 2
+
+
 def test_toxicity_learns_marking_words(spark, edge, empty):
     rng = np.random.default_rng(1)
     syllables = ["ba", "ko", "ri", "tu", "ne", "sa", "lo", "mi"]

@@ -15,7 +15,6 @@ no rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -293,25 +292,54 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return prints.join(classes, "print").select("id", "print", "component")
 
 
-# Fingerprints of whole documents by their words, for near_duplicates: see there.
-FAMILIES = 4
+# Candidates of near_duplicates: bands of minima, see there.
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
+BANDS, BAND_ROWS = 32, 5
+MINIMA_AT_ONCE = 1024
+_ODD = np.random.default_rng(SEED).integers(0, 1 << 63, (3, BANDS * BAND_ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def word_prints(text: bytes) -> list[int]:
-    """A fingerprint of each family over the text's words, each weighing the root of its count."""
-    counts = Counter(text.lower().split())
-    if not counts:
-        return [0] * FAMILIES
-    hashes = np.array([xxhash.xxh64_intdigest(word, SEED) for word in counts], dtype=np.uint64)
-    weights = np.sqrt(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)))
-    found = []
-    for family in range(FAMILIES):
-        mixed = (hashes ^ np.uint64(family)) * np.uint64(0x9E3779B97F4A7C15)
-        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed ^= mixed >> np.uint64(27)
-        found.append(majority(bit_weights(mixed, weights), weights.sum()))
-    return found
+def band_keys(text: bytes) -> list[int]:
+    """A key of each band: of the least values that the band's hash functions take over the text's shingles."""
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for hashes in shingle_hashes(text, SHINGLE_WORDS):
+        for at in range(0, len(hashes), MINIMA_AT_ONCE):
+            values = np.multiply.outer(hashes[at:at + MINIMA_AT_ONCE], _ODD[0])
+            values += _ODD[1]
+            np.minimum(least, values.min(axis=0), out=least)
+    mixed = (least ^ (least >> np.uint64(31))) * _ODD[2]
+    mixed ^= mixed >> np.uint64(29)
+    return mixed.reshape(BANDS, BAND_ROWS).sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
+
+
+def _band_pairs(batches):
+    """Of rows (key, node) sorted by both, pairs with equal keys (kind 0), and keys of long runs with their row counts (kind 1).
+
+    Short runs give every pair; a long one only those with its first rows.
+    """
+    key, held, count = None, [], 0
+    for batch in batches:
+        found = []
+        for now, node in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if now != key:
+                if count > SHORT_RUN:
+                    found.append((1, key, count))
+                key, held, count = now, [node], 1
+                continue
+            count += 1
+            if count <= SHORT_RUN:
+                found.extend((0, other, node) for other in held)
+                held.append(node)
+            else:
+                found.append((0, held[0], node))
+        yield _long_columns(found)
+    if count > SHORT_RUN:
+        yield _long_columns([(1, key, count)])
+
+
+def _long_columns(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    columns = np.array(found, dtype=np.int64).reshape(-1, 3).T
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["kind", "a", "b"])
 
 
 def shingle_set(text: bytes, words: int) -> set[bytes]:
@@ -337,9 +365,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row of each group of exact or near copies: the one with the smallest id, with the columns of docs.
 
     Near copies have at least 0.8 of their five-word shingles in common (size of intersection by size of union).
-    Fingerprints over such shingles differ in about 10 of 64 bits at that similarity, too many for the chains. So
-    the fingerprints here are over single words, of which near copies share far more, in four families of hash
-    functions, and what the chains link in any family is checked against the shingles of both whole texts.
+    The chains' fingerprints do not find them: over such shingles they differ in about 10 of 64 bits at that
+    similarity, and over single words a passage more or less moves them too far. So the candidates here come from
+    bands of minima over the shingles: a hash function's least value over two texts is the same with the chance of
+    their similarity, wherever they differ, so a pair at 0.8 has no equal band of 32 with the chance
+    (1 - 0.8 ** 5) ** 32, 3 in a million. Candidates are checked against the shingles of both whole texts.
 
     Wordless texts are one group; a null text is as an empty one.
     """
@@ -347,15 +377,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches):
         for batch in batches:
-            prints = pa.array([word_prints(text) for text in texts(batch.column(2))], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints], ["id", "text_key", "prints"])
+            keys = pa.array([band_keys(text) for text in texts(batch.column(2))], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys], ["id", "text_key", "keys"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = settle(docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("text_key"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {id_type}, text_key binary, prints array<long>"), "dedup-prints")
-    nodes = settle(rows.groupBy("text_key").agg(F.min("id").alias("least"), F.any_value("prints").alias("prints")).withColumn(
+        run, f"id {id_type}, text_key binary, keys array<long>"), "dedup-keys")
+    nodes = settle(rows.groupBy("text_key").agg(F.min("id").alias("least"), F.any_value("keys").alias("keys")).withColumn(
         "node", F.monotonically_increasing_id()), "dedup-nodes")
-    near = settle(links(nodes.select("node", F.posexplode("prints").alias("family", "print")), "dedup"), "dedup-candidates")
+    keyed = nodes.select(F.explode("keys").alias("key"), "node")
+    runs = settle(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(
+        _band_pairs, "kind long, a long, b long"), "dedup-runs")
+    near = settle(runs.where("kind = 0 and a <> b").select("a", "b").distinct(), "dedup-candidates")
 
     concerned = near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "text_key"), "node")
     found = settle(docs.select(text_key(text_col).alias("text_key"), F.col(text_col).alias("text")).join(

@@ -150,6 +150,24 @@ def test_near_duplicates_of_either_kind_of_edit_are_found(spark, kind):
     assert simhash.near_duplicates(spark.createDataFrame(rows(texts), SCHEMA)).count() == len(texts) // 2
 
 
+@pytest.mark.parametrize("open_rows", [1024, 64])
+def test_near_duplicates_of_one_text_that_are_not_near_each_other(spark, monkeypatch, open_rows):
+    """Only the original connects its many variants."""
+    monkeypatch.setattr(simhash, "OPEN_ROWS", open_rows)
+    original = [f"word{i}" for i in range(100)]
+    rng, texts = np.random.default_rng(7), [original]
+    for d in range(800):
+        copy = original.copy()
+        for at in (rng.integers(4, 45), rng.integers(55, 96)):
+            copy[at] = f"v{d}"
+        texts.append(copy)
+    assert all(jaccard(original, x) >= 0.8 for x in texts) and sum(jaccard(texts[1], x) < 0.8 for x in texts) > 700
+    alone = [[f"a{d}x{i}" if i % 9 == d % 9 else w for i, w in enumerate(original)] for d in range(40)]
+    assert all(jaccard(x, y) < 0.8 for x in alone for y in texts + alone if x is not y)
+    docs = spark.createDataFrame(rows([" ".join(x) for x in texts + alone]), SCHEMA)
+    assert sorted(r["doc_id"] for r in simhash.near_duplicates(docs).collect()) == [0, *range(801, 841)]
+
+
 def test_toxicity_learns_marking_words(spark, edge, empty):
     rng = np.random.default_rng(1)
     syllables = ["ba", "ko", "ri", "tu", "ne", "sa", "lo", "mi"]

@@ -296,6 +296,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 32, 5
 MINIMA_AT_ONCE = 1024
+# What a task holds of one long run of texts, in rows and bytes of text; a run with more is split into tiles of two blocks.
+OPEN_ROWS, OPEN_BYTES = 1024, 8 << 20
 _ODD = np.random.default_rng(SEED).integers(0, 1 << 63, (3, BANDS * BAND_ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -315,7 +317,7 @@ def band_keys(text: bytes) -> list[int]:
 def _band_pairs(batches):
     """Of rows (key, node) sorted by both, pairs with equal keys (kind 0), and keys of long runs with their row counts (kind 1).
 
-    Short runs give every pair; a long one only those with its first rows.
+    Short runs give every pair; a long one only those with its first rows: see _in_long_runs for the others.
     """
     key, held, count = None, [], 0
     for batch in batches:
@@ -361,6 +363,76 @@ def _similar(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
 
+def _similar_forest(sets: list[np.ndarray], roots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of similar sets that connect whatever similar pairs connect, given that equal roots are connected."""
+    sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    distinct, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    mine = np.zeros(len(distinct), dtype=bool)
+    unseen = np.arange(len(sets))
+    out_a, out_b = [], []
+    queue: list[int] = []
+    while len(unseen):
+        if not queue:
+            reached = roots[unseen] == roots[unseen[0]]
+        else:
+            row = queue.pop()
+            own = codes[starts[row]:ends[row]]
+            mine[own] = True
+            before = np.concatenate(([0], np.cumsum(mine[codes])))
+            mine[own] = False
+            common = before[ends[unseen]] - before[starts[unseen]]
+            near = unseen[common >= SIMILARITY * (sizes[row] + sizes[unseen] - common)]
+            out_a.append(np.full(len(near), row))
+            out_b.append(near)
+            reached = np.isin(roots[unseen], roots[near])
+        queue.extend(unseen[reached].tolist())
+        unseen = unseen[~reached]
+    return _joined(out_a), _joined(out_b)
+
+
+def _similar_in_runs(batches):
+    """Of rows (key, tile, node, root, text) sorted by key and tile, links that connect what similar pairs of a tile connect."""
+    run, nodes, roots, sets = None, [], [], []
+
+    def found():
+        a, b = _similar_forest(sets, np.array(roots)) if len(set(roots)) > 1 else (_joined([]), _joined([]))
+        nodes_of = np.array(nodes, dtype=np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(nodes_of[a]), pa.array(nodes_of[b])], ["a", "b"])
+
+    for batch in batches:
+        for key, tile, node, root, text in zip(*[batch.column(i).to_pylist() for i in range(4)], texts(batch.column(4)), strict=True):
+            if (key, tile) != run:
+                if run is not None:
+                    yield found()
+                run, nodes, roots, sets = (key, tile), [], [], []
+            nodes.append(node)
+            roots.append(root)
+            sets.append(np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(text, SHINGLE_WORDS)])))
+    if run is not None:
+        yield found()
+
+
+def _in_long_runs(keyed: DataFrame, long_keys: DataFrame, found: DataFrame, confirmed: DataFrame) -> DataFrame:
+    """(a, b): similar pairs that connect whatever similar pairs of the long runs connect beyond the confirmed ones.
+
+    The rows of a run that the confirmed pairs have not made one group are compared by their texts where they meet.
+    """
+    groups = components(confirmed, "dedup-first")
+    members = settle(keyed.join(long_keys, "key").distinct().join(groups, "node", "left").join(
+        found.select("node", F.octet_length("text").alias("bytes")), "node").select(
+        "key", "node", F.coalesce("root", "node").alias("root"), "bytes"), "dedup-long")
+    blocks = F.greatest(F.count("*") / OPEN_ROWS, F.sum("bytes") / OPEN_BYTES)
+    unsettled = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), (
+        F.floor(blocks) + 1).alias("blocks")).where("low < high").select("key", "blocks")
+    blocked = members.join(unsettled, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    tiles = blocked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "key", (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("tile"), "node", "root")
+    return tiles.join(found, "node").select("key", "tile", "node", "root", "text").repartition("key", "tile").sortWithinPartitions(
+        "key", "tile").mapInArrow(_similar_in_runs, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of exact or near copies: the one with the smallest id, with the columns of docs.
 
@@ -369,7 +441,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     similarity, and over single words a passage more or less moves them too far. So the candidates here come from
     bands of minima over the shingles: a hash function's least value over two texts is the same with the chance of
     their similarity, wherever they differ, so a pair at 0.8 has no equal band of 32 with the chance
-    (1 - 0.8 ** 5) ** 32, 3 in a million. Candidates are checked against the shingles of both whole texts.
+    (1 - 0.8 ** 5) ** 32, 3 in a million. Candidates are checked against the shingles of both whole texts. The groups
+    are those of all candidate pairs, also where so many texts have a band in common that not every pair is emitted.
 
     Wordless texts are one group; a null text is as an empty one.
     """
@@ -395,6 +468,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         concerned, "text_key").groupBy("node").agg(F.any_value("text").alias("text")), "dedup-texts")
     left, right = (found.select(F.col("node").alias(side), F.col("text").alias(f"text {side}")) for side in "ab")
     confirmed = near.join(left, "a").join(right, "b").select("a", "b", "text a", "text b").mapInArrow(_similar, "a long, b long")
+    long_keys = runs.where("kind = 1").select(F.col("a").alias("key"))
+    if not long_keys.isEmpty():
+        confirmed = settle(confirmed, "dedup-confirmed")
+        confirmed = confirmed.unionByName(settle(_in_long_runs(keyed, long_keys, found, confirmed), "dedup-unsettled"))
 
     groups = components(confirmed, "dedup").withColumnRenamed("root", "group")
     winners = nodes.join(groups, "node", "left").groupBy(F.coalesce("group", "node").alias("group")).agg(

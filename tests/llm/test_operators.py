@@ -269,6 +269,29 @@ def test_neighbours_match_brute_force(spark):
     assert neighbours.nearest(frame.limit(0), frame.limit(0), 7).count() == 0
 
 
+def test_neighbours_of_repeated_rows(spark):
+    """Queries given twice, with one vector and with two, and ids given often with a hot vector."""
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(300, 8)).astype(np.float32).astype(float)
+    vectors[40:140] = vectors[40]
+    made = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    made += [(20, vectors[20].tolist()), (40, vectors[40].tolist()), (60, vectors[7].tolist())] + [(100, vectors[40].tolist())] * 9
+    made += [(40, vectors[40].tolist())] * 12
+    frame = spark.createDataFrame(made, "vec_id long, embedding array<double>")
+    for parts in (1, 4):
+        dealt = frame.coalesce(1) if parts == 1 else frame.repartition(parts)
+        got = defaultdict(list)
+        for r in neighbours.nearest(dealt, dealt.where("vec_id % 20 = 0"), 7).orderBy("query_id", "rank").collect():
+            got[r["query_id"]].append((r["vec_id"], r["score"]))
+        for query in range(0, 300, 20):
+            own = [np.array(v) for i, v in made if i == query]
+            want = sorted((-max(float(np.dot(q, v)) for q in own), i) for i, v in made if i != query)[:7]
+            assert np.allclose([-s for s, _ in want], [s for _, s in got[query]], rtol=1e-9)
+            assert [i for _, i in want] == [i for i, _ in got[query]] or len({round(s, 9) for s, _ in want}) < 7
+            if query in (100, 120):
+                assert [i for i, _ in got[query]] == [i for _, i in want]
+
+
 def test_url_rules_and_reputation(spark):
     rules = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"))
     urls = [("http://WWW.Example.com/en/1?x", "www.example.com", "/en/1", "www.example.com/en/", "allow"),

@@ -6,11 +6,13 @@ product of a tile gives every inner product up to a bound from those norms; only
 the query's k-th best are computed again, in double precision, and merged into the query's k best. The grid's
 partial results, k rows a query and column of the grid, are merged by rank.
 
-Of equal vectors in one block only the k + 1 smallest ids are kept: no query can need more of them.
+Of equal vectors in one block only the rows of the k + 1 smallest different ids are kept: no query can need more
+of them, as only one of these ids can be its own.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor does a
-null id; vectors of another length never meet; all rows with the query's id count as its own; ties go to the
-smaller id; an empty table gives no rows.
+null id; vectors of another length never meet; all rows with the query's id count as its own; a neighbour is a row,
+so an id given n times can be n neighbours; an id with several query rows is one query, and a neighbour's score is its
+best with any of their vectors; ties go to the smaller id; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -49,16 +51,21 @@ def _vectors(table: pa.Table):
 
 
 def _first_of_equal(ids: np.ndarray, matrix: np.ndarray, most: int) -> np.ndarray:
-    """Places that keep the `most` smallest ids of each distinct vector."""
+    """Places that keep the `most` smallest different ids of each distinct vector, of each at most so many rows."""
     order = np.argsort(ids, kind="stable")
-    seen: dict[bytes, int] = {}
+    # The number of different ids, the last of them, and its rows.
+    seen: dict[bytes, tuple[int, int, int]] = {}
     keep = []
-    for place in order.tolist():
+    for place, own in zip(order.tolist(), ids[order].tolist(), strict=True):
         row = matrix[place].tobytes()
-        count = seen.get(row, 0)
-        if count < most:
-            seen[row] = count + 1
-            keep.append(place)
+        different, last, count = seen.get(row, (0, None, 0))
+        if own == last and count < most:
+            seen[row] = different, own, count + 1
+        elif own != last and different < most:
+            seen[row] = different + 1, own, 1
+        else:
+            continue
+        keep.append(place)
     return np.array(keep, dtype=np.int64)
 
 
@@ -89,6 +96,7 @@ class _Block:
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.vectors = np.frombuffer(row["vectors"]).reshape(len(self.ids), -1)
         self.codes = np.frombuffer(row["codes"], np.int8).reshape(self.vectors.shape).astype(np.float32)
+        self.rows = row["block"] * BLOCK + np.arange(len(self.ids))
         self.scale, self.size, self.slack = (np.frombuffer(row[name]) for name in ("scale", "size", "slack"))
 
 
@@ -99,6 +107,7 @@ class _Queries:
         self.block, self.k = block, k
         self.scores = np.full((len(block.ids), k), -np.inf)
         self.found = np.full((len(block.ids), k), -1, dtype=np.int64)
+        self.places = np.full((len(block.ids), k), -1, dtype=np.int64)
 
     def meet(self, other: _Block) -> None:
         mine = self.block
@@ -123,26 +132,28 @@ class _Queries:
         for at in range(0, len(query), PAIRS_AT_ONCE):
             q, c = query[at:at + PAIRS_AT_ONCE], place[at:at + PAIRS_AT_ONCE]
             exact = (mine.vectors[q] * other.vectors[c]).sum(axis=1)
-            self._merge(q, exact, other.ids[c])
+            self._merge(q, exact, other.ids[c], other.rows[c])
 
-    def _merge(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+    def _merge(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
         """Keep the k best of the queries concerned, old and new."""
         touched = np.unique(query)
         owner = np.concatenate([np.repeat(touched, self.k), query])
         scores = np.concatenate([self.scores[touched].ravel(), score])
         found = np.concatenate([self.found[touched].ravel(), ids])
-        order = np.lexsort((found, -scores, owner))
-        owner, scores, found = owner[order], scores[order], found[order]
+        places = np.concatenate([self.places[touched].ravel(), rows])
+        order = np.lexsort((places, found, -scores, owner))
+        owner, scores, found, places = owner[order], scores[order], found[order], places[order]
         first = np.searchsorted(owner, touched)
         rank = np.arange(len(owner)) - np.repeat(first, np.diff(np.append(first, len(owner))))
         keep = rank < self.k
         self.scores[owner[keep], rank[keep]] = scores[keep]
         self.found[owner[keep], rank[keep]] = found[keep]
+        self.places[owner[keep], rank[keep]] = places[keep]
 
     def rows(self) -> list[np.ndarray]:
         use = ~np.isneginf(self.scores)
         owner = np.repeat(self.block.ids, self.k).reshape(self.scores.shape)
-        return [owner[use], self.found[use], self.scores[use]]
+        return [owner[use], self.found[use], self.places[use], self.scores[use]]
 
 
 def _searcher(k: int):
@@ -153,7 +164,7 @@ def _searcher(k: int):
         def flush():
             for own in queries.values():
                 for each in own:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in each.rows()], ["query_id", "vec_id", "score"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in each.rows()], ["query_id", "vec_id", "place", "score"])
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -193,13 +204,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
     grid = asked.select(F.pmod(F.xxhash64("block"), F.lit(down)).cast("int").alias("r"), cells(across).alias("s"),
-                        F.lit(0).alias("kind"), *BLOCK_NAMES).unionByName(
+                        F.lit(0).alias("kind"), "block", *BLOCK_NAMES).unionByName(
         given.select(cells(down).alias("r"), F.pmod(F.xxhash64("block"), F.lit(across)).cast("int").alias("s"),
-                     F.lit(1).alias("kind"), *BLOCK_NAMES))
+                     F.lit(1).alias("kind"), "block", *BLOCK_NAMES))
     # A row is a whole block here: few of them to an Arrow batch.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
     partial = settle(grid.repartition(down * across, "r", "s").sortWithinPartitions("r", "s", "kind").mapInArrow(
-        _searcher(k), "query_id long, vec_id long, score double"), "neighbour-partial")
+        _searcher(k), "query_id long, vec_id long, place long, score double"), "neighbour-partial")
+    # The rows of one query id may have found the same neighbour.
+    partial = partial.groupBy("query_id", "vec_id", "place").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

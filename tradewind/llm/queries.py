@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, chat, langid, neighbours, packing, quality, sharding, simhash, toxicity, url_filter
+from tradewind.llm import (alignment, bpe, chat, decontamination, langid, lexical, neighbours, packing, quality, sharding, simhash,
+                           toxicity, url_filter)
 from tradewind.llm.common import held_out
 
 SHARDS = 16
@@ -117,8 +118,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("hits")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model")).drop("pairs")
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash, "op2_toxicity": op2_toxicity, "op3_sharding": op3_sharding, "op4_language": op4_language,
     "op5_neighbours": op5_neighbours, "op6_url_filter": op6_url_filter, "op7_chat": op7_chat,
     "op8_byte_bpe": op8_byte_bpe, "op9_quality": op9_quality, "op10_packing": op10_packing,
+    "op11_decontamination": op11_decontamination, "op12_alignment": op12_alignment, "op13_lexical": op13_lexical,
 }

@@ -484,7 +484,7 @@ def stream_change_routing(spark, sf_dir):
     messages = topics.read_folder(spark, topic, spark.read.parquet(topic).schema)
     _run(spark, jobs.change_routing_job(messages, jobs.folder_sink(facts), dims), "db-checkpoint")
     fact_rows = tables.read_versions(spark, facts, jobs.FACT).select(F.col("topic").alias("target"))
-    dim_rows = change_routing.dim_latest(tables.read_versions(spark, dims, jobs.DIM_ROW).drop(tables.BATCH))
+    dim_rows = jobs.dim_store(spark, dims).read()
     target = F.concat(F.lit("DIM:"), F.col("table"))
     return fact_rows.unionByName(dim_rows.select(target.alias("target"))).groupBy("target").agg(
         F.count(F.lit(1)).alias("rows"))

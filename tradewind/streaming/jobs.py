@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tradewind import names
-from tradewind.functions.json import read_records
+from tradewind.functions.json import read_records, write_records
 from tradewind.functions.time import event_date, text_timestamp
 from tradewind.operators.keyed import first_per_key, latest_per_key
 from tradewind.operators.skew import PARTNER_SALT, ROW_SALT, add_all_salts, add_row_salt
@@ -17,7 +17,9 @@ from tradewind.plans import change_routing, dau, log_split, orders
 from tradewind.schemas import (BASE_PROVINCE, DAU_INFO, ORDER_DETAIL, ORDER_INFO_SOURCE, ORDER_WIDE, PAGE_LOG,
                                USER_INFO)
 from tradewind.sources import offsets
-from tradewind.sources.tables import BATCH, read_latest, read_versions, write_batch
+from tradewind.sources.keyed_store import KeyedStore
+from tradewind.sources.manifest import VERSION, Manifest
+from tradewind.sources.tables import read_latest, read_versions, write_batch
 
 # Takes the messages of one micro-batch and its number.
 Sink = Callable[[DataFrame, int], None]
@@ -29,6 +31,10 @@ DIM_ROW = T.StructType([T.StructField(n, T.StringType()) for n in ("table", "id"
                        + [T.StructField("ts", T.LongType()), T.StructField("offset", T.LongType())])
 # Holds the text of a message that is no complete record.
 REJECTED = "rejected"
+# Event times beyond these (2000 to 2100, epoch ms) are no times: they would only make folders of days.
+EARLIEST, LATEST = 946_684_800_000, 4_102_444_800_000
+# Topics of orders and line items whose hold ended without a partner.
+UNMATCHED_ORDERS, UNMATCHED_DETAILS = "ORDER_UNMATCHED", "ORDER_DETAIL_UNMATCHED"
 FACT = T.StructType([T.StructField("topic", T.StringType()), T.StructField("value", T.StringType())])
 
 
@@ -58,13 +64,16 @@ def kafka_sink(servers: str) -> Sink:
 
 def _set_aside(batch: DataFrame, dead_to: Sink, batch_id: int, suffix: str) -> DataFrame:
     """Send the rejected messages of a batch to the dead letters; gives the other rows."""
-    dead = batch.where(F.col(REJECTED).isNotNull())
-    if not dead.isEmpty():
-        topic = F.lit(names.topic(names.DEAD_LETTER_TOPIC, suffix))
-        dead_to(dead.select(topic.alias("topic"), F.col(REJECTED).alias("value")), batch_id)
+    topic = F.lit(names.topic(names.DEAD_LETTER_TOPIC, suffix))
+    dead_to(batch.where(F.col(REJECTED).isNotNull()).select(topic.alias("topic"), F.col(REJECTED).alias("value")), batch_id)
     return batch.where(F.col(REJECTED).isNull()).drop(REJECTED)
 
 
+def dim_store(spark: SparkSession, path: str) -> KeyedStore:
+    """The newest image of every dimension row: by change time, then by stream offset. Deleted rows keep theirs."""
+    return KeyedStore(spark, path, DIM_ROW, "dim_key", ["dim_key", "table", "id"], ["ts", "offset"])
+
+
 def change_routing_job(messages: DataFrame, facts_to: Sink, dim_path: str,
                        control: Callable[[SparkSession], DataFrame] | None = None,
                        ledger: tuple[str, str] | None = None,
@@ -85,8 +94,7 @@ def change_routing_job(messages: DataFrame, facts_to: Sink, dim_path: str,
             dead = change_routing.dead_letters(events).select(
                 F.lit(names.topic(names.DEAD_LETTER_TOPIC, suffix)).alias("topic"), "value")
             facts_to(facts.unionByName(dead), batch_id)
-            newest = latest_per_key(dims, ["table", "id"], ["ts", "offset"])
-            write_batch(newest.select(*DIM_ROW.fieldNames()), dim_path, batch_id, partition="table")
+            dim_store(batch.sparkSession, dim_path).write(dims, batch_id)
             if ledger:
                 offsets.commit(batch, *ledger, batch_id)
         finally:
@@ -96,18 +104,15 @@ def change_routing_job(messages: DataFrame, facts_to: Sink, dim_path: str,
 
 
 def dimension_reader(dim_path: str) -> Dimensions:
-    """The newest users and provinces of the dimension table that ``change_routing_job`` keeps.
-
-    Versions are cut down to the ids that the batch refers to before the newest is picked, so that with
-    few enough ids to broadcast the dimension table is scanned but not shuffled.
-    """
+    """The newest users and provinces of the dimension store that ``change_routing_job`` keeps, looked up by the
+    ids that a batch refers to: files that cannot hold one of them are not opened."""
 
     def read(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        store = dim_store(spark, dim_path)
+
         def typed(name: str, key: str, schema: T.StructType) -> DataFrame:
-            wanted = rows.select(F.col(key).cast("string").alias("id")).distinct()
-            versions = read_versions(spark, dim_path, DIM_ROW).where(F.col("table") == name)
-            newest = change_routing.dim_latest(versions.join(wanted, "id", "left_semi").select(*DIM_ROW.fieldNames()))
-            return read_records(newest, schema, "data")
+            wanted = rows.select(F.concat(F.lit(f"DIM:{name}:"), F.col(key).cast("string")).alias("dim_key"))
+            return read_records(store.lookup(wanted), schema, "data")
 
         return typed("USER_INFO", "user_id", USER_INFO), typed("BASE_PROVINCE", "province_id", BASE_PROVINCE)
 
@@ -123,12 +128,12 @@ def dau_job(messages: DataFrame, path: str, dimensions: Dimensions | None = None
     need no restore, also with a new checkpoint, any lateness is accepted, and a repeated batch writes only
     what its first attempt did not.
     Every batch's progress reports the pages before and after the entry filter.
-    `dead_to` takes the messages that are unreadable or lack the device or the time; without it, unreadable ones
+    `dead_to` takes the messages that are unreadable or lack the device or a plausible time; without it, unreadable ones
     are counted in the progress and left out.
     """
     schema = DAU_VISIT if dimensions is None else DAU_INFO
     pages = read_records(messages, PAGE_LOG, metric="dau_input",
-                         complete=F.col("mid").isNotNull() & F.col("ts").isNotNull(),
+                         complete=F.col("mid").isNotNull() & F.col("ts").between(EARLIEST, LATEST),
                          rejected=REJECTED if dead_to else None)
     good = F.col(REJECTED).isNull() if dead_to else F.lit(True)
     pages = pages.observe("dau_funnel", F.count_if(good).alias("pages"),
@@ -162,7 +167,7 @@ def dau_job(messages: DataFrame, path: str, dimensions: Dimensions | None = None
 
 def read_dau(spark: SparkSession, path: str, enriched: bool = True) -> DataFrame:
     """One row per device and day, the earliest on record."""
-    versions = read_versions(spark, path, DAU_INFO if enriched else DAU_VISIT).drop(BATCH)
+    versions = read_versions(spark, path, DAU_INFO if enriched else DAU_VISIT).drop(*VERSION)
     return first_per_key(versions, dau.KEY, ["ts"])
 
 
@@ -208,17 +213,109 @@ def join_orders(order_messages: DataFrame, detail_messages: DataFrame, max_disor
     return joined.selectExpr(*orders.wide_columns(joined.columns))
 
 
+class OrderSides:
+    """Orders and line items on record, both looked up by the order's id, and what is due to expire by day."""
+
+    PENDING = T.StructType([T.StructField("side", T.StringType()), T.StructField("id", T.LongType()),
+                            T.StructField("order_id", T.LongType()), T.StructField("created", T.LongType()),
+                            T.StructField("dt", T.StringType())])
+
+    def __init__(self, spark: SparkSession, path: str, retention: datetime.timedelta):
+        self.spark, self.path, self.retention = spark, path.rstrip("/"), retention
+        self.orders = KeyedStore(spark, f"{path}/orders", ORDER_INFO_SOURCE, "id", ["id"])
+        self.details = KeyedStore(spark, f"{path}/details", ORDER_DETAIL, "order_id", ["order_id", "id"])
+
+    def pairs(self, new_orders: DataFrame, new_details: DataFrame) -> DataFrame:
+        """The pairs that a batch completes: its orders with all line items on record, its line items with all orders."""
+        with_details = orders.order_wide(
+            latest_per_key(orders.with_create_parts(new_orders), ["id"], []),
+            self.details.lookup(new_orders.select("id")), self.retention)
+        with_orders = orders.order_wide(
+            orders.with_create_parts(self.orders.lookup(new_details.select("order_id"))),
+            latest_per_key(new_details, ["id"], []), self.retention)
+        return with_details.unionByName(with_orders).distinct()
+
+    def expire(self, new_orders: DataFrame, new_details: DataFrame, max_disorder: datetime.timedelta,
+               sink: Sink, batch_id: int) -> None:
+        """Send the rows whose hold ended with this batch, and that have no partner, to the sink.
+
+        A hold ends when a time of creation has been seen that lies the retention and `max_disorder` later. How far
+        that went is a mark in the manifest, moved after the sink has the rows, so every row is judged once, also
+        over restarts; one that comes after its end is judged in its own batch. Only the days that end now are read.
+        """
+        created = F.unix_seconds(text_timestamp(F.col("create_time")))
+        day = F.date_format(F.timestamp_seconds("created"), "yyyy-MM-dd").alias("dt")
+        new = new_orders.select(F.lit("orders").alias("side"), "id", F.col("id").alias("order_id"), created.alias("created")).unionByName(
+            new_details.select(F.lit("details").alias("side"), "id", "order_id", created.alias("created"))).select("*", day).persist()
+        try:
+            manifest = Manifest(self.spark, self.path)
+            marks = manifest.current()["marks"]
+            seen = [t for t in (marks.get("seen"), new.agg(F.max("created")).first()[0]) if t is not None]
+            if not seen:
+                return
+            pending = f"{self.path}/pending"
+            write_batch(new, pending, batch_id)
+            ended, until = marks.get("ended"), max(seen) - int((self.retention + max_disorder).total_seconds())
+            until = max(until, ended) if ended is not None else until
+            due = read_versions(self.spark, pending, self.PENDING).select(*self.PENDING.fieldNames()).where(
+                (F.col("dt") <= _day_of(until)) & (F.col("created") <= until))
+            if ended is not None:
+                due = due.where((F.col("dt") >= _day_of(ended)) & (F.col("created") > ended)).unionByName(
+                    new.where(F.col("created") <= ended))
+            due = due.select("side", "id", "order_id").distinct().persist()
+            try:
+                self._send_unmatched(due, sink, batch_id)
+            finally:
+                due.unpersist()
+
+            def move(state: dict) -> dict:
+                state["marks"] |= {"seen": max(seen), "ended": until}
+                return state
+
+            manifest.change(move)
+            manifest.clear()
+            if ended is not None:
+                for name in manifest.files.names("pending"):
+                    if name.startswith("dt=") and name[3:] < _day_of(ended):
+                        manifest.files.delete(f"pending/{name}")
+        finally:
+            new.unpersist()
+
+    def _send_unmatched(self, due: DataFrame, sink: Sink, batch_id: int) -> None:
+        by_side = {side: due.where(F.col("side") == side) for side in ("orders", "details")}
+        due_orders = self.orders.lookup(by_side["orders"].select("id"))
+        lost_orders = orders.order_unmatched(due_orders, self.details.lookup(by_side["orders"].select("id")), self.retention)
+        due_details = self.details.lookup(by_side["details"].select("order_id")).join(
+            by_side["details"].select("id"), "id", "left_semi")
+        lost_details = orders.detail_unmatched(
+            self.orders.lookup(by_side["details"].select("order_id")), due_details.select(*ORDER_DETAIL.fieldNames()), self.retention)
+        sink(write_records(lost_orders).select(F.lit(UNMATCHED_ORDERS).alias("topic"), "value").unionByName(
+            write_records(lost_details).select(F.lit(UNMATCHED_DETAILS).alias("topic"), "value")), batch_id)
+
+
+def _day_of(seconds: int) -> str:
+    return datetime.datetime.fromtimestamp(seconds, datetime.timezone.utc).strftime("%Y-%m-%d")
+
+
+def read_unmatched(spark: SparkSession, path: str) -> DataFrame:
+    """(topic, value) of the folder sink of expired rows; a repeated batch counts once."""
+    return read_versions(spark, path, FACT).select("topic", "value").distinct()
+
+
 def stored_order_job(order_messages: DataFrame, detail_messages: DataFrame, state: str, path: str,
                      dimensions: Dimensions, as_of: datetime.date | None = None,
                      retention: datetime.timedelta = orders.RETENTION, dead_to: Sink | None = None,
+                     unmatched_to: Sink | None = None, max_disorder: datetime.timedelta = datetime.timedelta(0),
                      suffix: str = names.TOPIC_SUFFIX) -> DataStreamWriter:
-    """Orders and line items joined whatever their disorder: both sides are kept in month folders below
-    `state`, and each batch joins its orders with all line items on record and its line items with all
-    orders, within the retention of each other. No watermark drops a row.
-
-    A batch opens only the folders of its own months and their neighbours. A repeated batch, or a pair that
-    both joins find, counts once when the table is read. `dead_to` takes the messages that are unreadable or
-    lack an id or a time of creation; without it they are left out.
+    """Orders and line items joined whatever their disorder: both sides are kept in stores below `state`, and each
+    batch joins its orders with all line items on record and its line items with all orders, within the
+    retention of each other. No watermark drops a row.
+
+    Both stores are sorted by the order's id, and a batch opens only files that may hold its ids, so what it reads
+    grows with the batch. A repeated batch, or a pair that both joins find, counts once when the table is read.
+    `dead_to` takes the messages that are unreadable or lack an id or a time of creation; without it they are left
+    out. `unmatched_to` takes orders and line items whose hold ends without a partner, each once (``OrderSides.expire``);
+    a partner that comes later still is joined.
     """
     timed = text_timestamp(F.col("create_time")).isNotNull() & F.col("id").isNotNull()
     complete = {"orders": timed, "details": timed & F.col("order_id").isNotNull()}
@@ -226,46 +323,27 @@ def stored_order_job(order_messages: DataFrame, detail_messages: DataFrame, stat
     def sided(messages: DataFrame, side: str) -> DataFrame:
         return messages.select(F.lit(side).alias("side"), "value")
 
-    def month(created: str):
-        return F.substring(created, 1, 7)
-
-    def stored(spark: SparkSession, side: str, schema: T.StructType, months: list[str]) -> DataFrame:
-        full = T.StructType([*schema.fields, T.StructField("month", T.StringType())])
-        rows = read_versions(spark, f"{state}/{side}", full).where(F.col("month").isin(months))
-        return latest_per_key(rows, ["id"], [BATCH]).select(*schema.fieldNames())
-
     def join(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # As many months as the retention may reach to either side.
-        reach = F.lit(int(retention.total_seconds() // 86400) + 1)
+        sides = OrderSides(spark, state, retention)
         new, held = {}, []
         try:
-            for side, schema in (("orders", ORDER_INFO_SOURCE), ("details", ORDER_DETAIL)):
+            for side, schema, store in (("orders", ORDER_INFO_SOURCE, sides.orders), ("details", ORDER_DETAIL, sides.details)):
                 rows = read_records(batch.where(F.col("side") == side), schema, complete=complete[side],
                                     rejected=REJECTED).persist()
                 held.append(rows)
                 new[side] = rows.where(F.col(REJECTED).isNull()).drop(REJECTED)
-                write_batch(new[side].withColumn("month", month("create_time")), f"{state}/{side}", batch_id, "month")
+                store.write(new[side], batch_id)
             if dead_to is not None:
                 rejects = held[0].select(REJECTED).unionByName(held[1].select(REJECTED))
                 _set_aside(rejects, dead_to, batch_id, suffix)
-            day = [new[side].select(F.to_date(text_timestamp(F.col("create_time"))).alias("day")) for side in new]
-            near = day[0].union(day[1]).select(F.explode(F.array(
-                F.date_sub("day", reach), "day", F.date_add("day", reach))).alias("day"))
-            months = [r[0] for r in near.select(F.date_format("day", "yyyy-MM").alias("month")).distinct().collect()]
-            if not months:
-                return
-            pairs = orders.order_wide(
-                latest_per_key(orders.with_create_parts(new["orders"]), ["id"], []),
-                stored(spark, "details", ORDER_DETAIL, months), retention).unionByName(orders.order_wide(
-                    orders.with_create_parts(stored(spark, "orders", ORDER_INFO_SOURCE, months)),
-                    latest_per_key(new["details"], ["id"], []), retention)).distinct().persist()
-            try:
-                users, provinces = dimensions(spark, pairs)
-                wide = orders.with_dimensions(pairs, users, provinces, as_of).select(*ORDER_WIDE.fieldNames())
-                write_batch(wide.withColumn("create_month", month("create_date")), path, batch_id, "create_month")
-            finally:
-                pairs.unpersist()
+            pairs = sides.pairs(new["orders"], new["details"]).persist()
+            held.append(pairs)
+            users, provinces = dimensions(spark, pairs)
+            wide = orders.with_dimensions(pairs, users, provinces, as_of).select(*ORDER_WIDE.fieldNames())
+            write_batch(wide.withColumn("create_month", F.substring("create_date", 1, 7)), path, batch_id, "create_month")
+            if unmatched_to is not None:
+                sides.expire(new["orders"], new["details"], max_disorder, unmatched_to, batch_id)
         finally:
             for rows in held:
                 rows.unpersist()

@@ -310,4 +310,24 @@ ORACLE: dict[str, str] = {
     "stream_restart": _sql("SELECT * FROM first_visit"),
     "stream_new_checkpoint": _sql("SELECT * FROM first_visit"),
     "stream_order_join": _sql("SELECT * FROM wide"),
+    "stream_dau_changing_dims": _sql("""
+        SELECT * REPLACE (
+            CASE WHEN CAST(user_id AS BIGINT) % 10 = 3 THEN NULL WHEN dt >= '2024-01-17' THEN user_gender
+                 WHEN user_gender = 'M' THEN 'F' WHEN user_gender = 'F' THEN 'M' END AS user_gender,
+            CASE WHEN CAST(user_id AS BIGINT) % 10 <> 3 THEN user_age END AS user_age,
+            CASE WHEN CAST(province_id AS BIGINT) % 10 <> 3 THEN province_name END AS province_name,
+            CASE WHEN CAST(province_id AS BIGINT) % 10 <> 3 THEN province_iso_code END AS province_iso_code,
+            CASE WHEN CAST(province_id AS BIGINT) % 10 <> 3 THEN province_3166_2 END AS province_3166_2,
+            CASE WHEN CAST(province_id AS BIGINT) % 10 <> 3 THEN province_area_code END AS province_area_code) FROM dau"""),
+    "stream_order_new_checkpoint": _sql("""
+        SELECT * REPLACE (CASE WHEN order_id % 7 = 0 THEN total_amount + 1000 ELSE total_amount END AS total_amount)
+        FROM wide"""),
+    "stream_unmatched": _sql("""
+        SELECT topic, id FROM (
+            SELECT 'ORDER_UNMATCHED' AS topic, id, create_time FROM order_info WHERE id NOT IN (SELECT o_id FROM pair)
+            UNION ALL
+            SELECT 'ORDER_DETAIL_UNMATCHED', id, create_time FROM order_detail WHERE id NOT IN (SELECT d_id FROM pair))
+        WHERE epoch(CAST(create_time AS TIMESTAMP)) + 86400 <= greatest(
+            (SELECT max(epoch(CAST(create_time AS TIMESTAMP))) FROM order_info),
+            (SELECT max(epoch(CAST(create_time AS TIMESTAMP))) FROM order_detail))"""),
 }

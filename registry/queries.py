@@ -16,6 +16,7 @@ from tradewind.plans import change_routing, dau, log_split, orders, reports
 from tradewind.schemas import DAU_INFO, DAU_MAPPING, ORDER_DETAIL, ORDER_MAPPING, PAGE_LOG
 from tradewind.session import new_folder, tune
 from tradewind.sources import derived, offsets, tables, topics
+from tradewind.sources.manifest import Files
 from tradewind.streaming import jobs
 from tradewind.streaming.runner import finish, start
 
@@ -422,7 +423,7 @@ def offset_resume(spark, sf_dir):
     """Positions committed and read back as a start position."""
     path = new_folder(spark, "ledger")
     messages = derived.log_offsets(spark, sf_dir)
-    offsets.commit(messages, path, "ODS_BASE_LOG_GROUP", 0)
+    offsets.commit(messages, path, "ODS_BASE_LOG_GROUP")
     return offsets.starting_offsets(offsets.committed(spark, path))
 
 
@@ -431,7 +432,7 @@ def offset_resume_rest(spark, sf_dir):
     """A reader stops before the message at offset 100 of each partition; what a new one then reads from the ledger on."""
     path = new_folder(spark, "ledger")
     messages = derived.log_offsets(spark, sf_dir)
-    offsets.commit(messages.where(F.col("offset") < 100), path, "ODS_BASE_LOG_GROUP", 0)
+    offsets.commit(messages.where(F.col("offset") < 100), path, "ODS_BASE_LOG_GROUP")
     rest = offsets.not_yet_read(messages, offsets.committed(spark, path))
     return rest.groupBy(*offsets.KEY).agg(F.count(F.lit(1)).alias("messages"), F.min("offset").alias("first_offset"),
                                           F.max("offset").alias("last_offset"))
@@ -450,15 +451,41 @@ def _page_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("ts", F.to_json(F.struct(*pages.columns)).alias("value"))
 
 
-def _page_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The page messages of the month in four parts, oldest first, each a micro-batch or more."""
-    topic = new_folder(spark, "page-topic")
-    messages = _page_messages(spark, sf_dir)
+PARTS = 4
+
+
+class Arrivals:
+    """Messages of (part, value) by topic, whose parts arrive one after the other. Each topic is written once, by as
+    many tasks as its source has; a part arrives by a rename of its folder."""
+
+    def __init__(self, spark: SparkSession, **messages: DataFrame):
+        self.spark, self.root, self.names = spark, new_folder(spark, "arrivals"), list(messages)
+        self.files = Files(spark, self.root)
+        for name, rows in messages.items():
+            rows.select("part", "value").write.partitionBy("part").parquet(f"{self.root}/staged/{name}")
+
+    def stream(self, name: str, **options) -> DataFrame:
+        return topics.read_folder(self.spark, f"{self.root}/{name}/*", **options)
+
+    def arrive(self, part: int) -> None:
+        for name in self.names:
+            if f"part={part}" in self.files.names(f"staged/{name}"):
+                self.files.move(f"staged/{name}/part={part}", f"{name}/{part}")
+
+    def run(self, make: Callable[[], object], before: Callable[[int], None] = lambda part: None) -> None:
+        """Start the job anew for every part, on one checkpoint."""
+        checkpoint = new_folder(self.spark, "arrivals-checkpoint")
+        for part in range(PARTS):
+            before(part)
+            self.arrive(part)
+            finish(start(make(), checkpoint, available_now=True))
+
+
+def _page_arrivals(spark: SparkSession, sf_dir: str) -> Arrivals:
+    """The page messages of the month in four parts, oldest first."""
     begin = [datetime.datetime(2024, 1, day, tzinfo=datetime.timezone.utc).timestamp() * 1000 for day in (9, 17, 25)]
     part = sum((F.col("ts") >= int(at)).cast("int") for at in begin)
-    for number in range(4):
-        topics.land(messages.where(part == number).coalesce(1), f"{topic}/{number}")
-    return topics.read_folder(spark, f"{topic}/*", files_per_trigger=1)
+    return Arrivals(spark, pages=_page_messages(spark, sf_dir).withColumn("part", part))
 
 
 def _run(spark: SparkSession, writer, label: str) -> None:
@@ -492,25 +519,47 @@ def stream_change_routing(spark, sf_dir):
 
 @query
 def stream_dau_dedup(spark, sf_dir):
-    out = new_folder(spark, "dau")
-    _run(spark, jobs.dau_job(_page_topic(spark, sf_dir), out), "dau-checkpoint")
+    out, pages = new_folder(spark, "dau"), _page_arrivals(spark, sf_dir)
+    pages.run(lambda: jobs.dau_job(pages.stream("pages"), out))
     return jobs.read_dau(spark, out, enriched=False)
 
 
 @query
 def stream_dau_dedup_bounded(spark, sf_dir):
     """The variant with bounded state: which devices were seen on which day."""
-    out = new_folder(spark, "dau-bounded")
-    seen = jobs.bounded_dedup(_page_topic(spark, sf_dir), "1 hour").select("dt", "mid")
-    _run(spark, seen.writeStream.format("parquet").option("path", out), "dau-bounded-checkpoint")
+    out, pages = new_folder(spark, "dau-bounded"), _page_arrivals(spark, sf_dir)
+
+    def job():
+        seen = jobs.bounded_dedup(pages.stream("pages"), "1 hour").select("dt", "mid")
+        return seen.writeStream.format("parquet").option("path", out)
+
+    pages.run(job)
     return spark.read.schema("dt string, mid string").parquet(out)
 
 
 @query
 def stream_dau_wide(spark, sf_dir):
-    out = new_folder(spark, "dau-wide")
-    job = jobs.dau_job(_page_topic(spark, sf_dir), out, lambda s, rows: _dims(s, sf_dir), AS_OF)
-    _run(spark, job, "dau-wide-checkpoint")
+    out, pages = new_folder(spark, "dau-wide"), _page_arrivals(spark, sf_dir)
+    pages.run(lambda: jobs.dau_job(pages.stream("pages"), out, lambda s, rows: _dims(s, sf_dir), AS_OF))
+    return jobs.read_dau(spark, out)
+
+
+@query
+def stream_dau_changing_dims(spark, sf_dir):
+    """Users change between batches: the routing job feeds the dimension store with the first versions before the first
+    part of the month and with the second ones before the third, and each part sees what is there when it comes."""
+    out, dims, db, facts = (new_folder(spark, n) for n in ("dau-dims", "dims", "db-topic", "facts"))
+    checkpoint, pages = new_folder(spark, "db-checkpoint"), _page_arrivals(spark, sf_dir)
+    events = derived.change_events(spark, sf_dir).where(
+        F.get_json_object("value", "$.table").isin("user_info", "base_province"))
+
+    def change(part: int) -> None:
+        if part in (0, 2):
+            topics.land(events.where(F.col("offset") == (1 if part == 0 else 2)), db)
+            messages = topics.read_folder(spark, db, events.schema)
+            finish(start(jobs.change_routing_job(messages, jobs.folder_sink(facts), dims), checkpoint, available_now=True))
+
+    pages.run(lambda: jobs.dau_job(pages.stream("pages"), out, jobs.dimension_reader(dims), AS_OF), change)
     return jobs.read_dau(spark, out)
 
 
@@ -528,19 +577,54 @@ def stream_restart(spark, sf_dir):
     return jobs.read_dau(spark, out, enriched=False)
 
 
+def _order_messages(spark: SparkSession, sf_dir: str, part: Column) -> dict[str, DataFrame]:
+    """Orders and line items as messages, dealt to parts by `part`."""
+    rows = {"orders": derived.order_info(spark, sf_dir), "details": derived.order_detail(spark, sf_dir)}
+    return {name: side.select(part.alias("part"), F.to_json(F.struct(*side.columns)).alias("value"))
+            for name, side in rows.items()}
+
+
 @query
 def stream_order_join(spark, sf_dir):
-    """Orders and line items in four micro-batches each, in no order of time."""
-    order_topic, detail_topic, sides, out = (
-        new_folder(spark, n) for n in ("order-topic", "detail-topic", "order-sides", "order-wide"))
-    topics.land(write_records(derived.order_info(spark, sf_dir)).repartition(4), order_topic)
-    topics.land(write_records(derived.order_detail(spark, sf_dir), ORDER_DETAIL.fieldNames()).repartition(4), detail_topic)
-    streams = [topics.read_folder(spark, topic, files_per_trigger=1) for topic in (order_topic, detail_topic)]
-    job = jobs.stored_order_job(*streams, sides, out, lambda s, rows: _dims(s, sf_dir), AS_OF)
-    _run(spark, job, "order-checkpoint")
+    """Orders and line items in four micro-batches, in no order of time."""
+    sides, out = new_folder(spark, "order-sides"), new_folder(spark, "order-wide")
+    arrivals = Arrivals(spark, **_order_messages(spark, sf_dir, F.pmod(F.xxhash64("id"), F.lit(PARTS))))
+    arrivals.run(lambda: jobs.stored_order_job(arrivals.stream("orders"), arrivals.stream("details"), sides, out,
+                                               lambda s, rows: _dims(s, sf_dir), AS_OF))
+    return jobs.read_orders(spark, out, monthly=True)
+
+
+@query
+def stream_order_new_checkpoint(spark, sf_dir):
+    """As above, then every seventh order once more with a changed amount, through a query with a new checkpoint."""
+    sides, out = new_folder(spark, "order-sides"), new_folder(spark, "order-wide")
+    arrivals = Arrivals(spark, **_order_messages(spark, sf_dir, F.pmod(F.xxhash64("id"), F.lit(PARTS))))
+
+    def job(orders_from: DataFrame, details_from: DataFrame):
+        return jobs.stored_order_job(orders_from, details_from, sides, out, lambda s, rows: _dims(s, sf_dir), AS_OF)
+
+    arrivals.run(lambda: job(arrivals.stream("orders"), arrivals.stream("details")))
+    again, none = new_folder(spark, "order-topic"), new_folder(spark, "detail-topic")
+    changed = derived.order_info(spark, sf_dir).where(F.col("id") % 7 == 0).withColumn("total_amount", F.col("total_amount") + 1000)
+    topics.land(write_records(changed), again)
+    topics.land(write_records(derived.order_detail(spark, sf_dir).limit(0), ORDER_DETAIL.fieldNames()), none)
+    _run(spark, job(topics.read_folder(spark, again), topics.read_folder(spark, none)), "order-checkpoint")
     return jobs.read_orders(spark, out, monthly=True)
 
 
+@query
+def stream_unmatched(spark, sf_dir):
+    """Orders and line items in order of time, the query started anew for each of four parts: those whose hold ended
+    without a partner, which the job reports once each."""
+    sides, out, lost = (new_folder(spark, n) for n in ("order-sides", "order-wide", "order-unmatched"))
+    part = sum((F.col("create_time") >= day).cast("int") for day in ("1994-01-01", "1996-01-01", "1997-06-01"))
+    arrivals = Arrivals(spark, **_order_messages(spark, sf_dir, part))
+    arrivals.run(lambda: jobs.stored_order_job(
+        arrivals.stream("orders"), arrivals.stream("details"), sides, out, lambda s, rows: _dims(s, sf_dir), AS_OF,
+        unmatched_to=jobs.folder_sink(lost)))
+    return jobs.read_unmatched(spark, lost).select("topic", _row_id("value").alias("id"))
+
+
 @query
 def stream_new_checkpoint(spark, sf_dir):
     """The daily job run over the first half of the month, then over all of it with a new checkpoint: the

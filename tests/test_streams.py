@@ -11,7 +11,7 @@ from tradewind.plans import dau
 from tradewind.schemas import PAGE_LOG, record
 from tradewind.sources import derived, offsets, tables, topics
 from tradewind.streaming import jobs
-from tradewind.streaming.runner import finish, start
+from tradewind.streaming.runner import LedgerListener, finish, finish_recorded, start
 
 SF = "/root/testdata/sf0.001"
 DAY = 24 * 3600 * 1000
@@ -106,20 +106,22 @@ def test_table_lists_are_read_anew_for_every_batch(spark, tmp_path):
         events = [json.dumps({"type": "insert", "table": t, "ts": 1, "data": {"id": offset}})
                   for t in ("order_info", "cart_info")]
         topics.land(spark.createDataFrame([("db", 0, 2 * offset + i, e) for i, e in enumerate(events)], schema), db)
-        job = jobs.change_routing_job(topics.read_folder(spark, db, schema), jobs.folder_sink(facts), store, control, (ledger, "g"))
-        run(job, tmp_path)
+        job = jobs.change_routing_job(topics.read_folder(spark, db, schema, topic="db"), jobs.folder_sink(facts), store, control)
+        query = start(job, f"{tmp_path}/checkpoint", available_now=True, name="routing")
+        finish_recorded(query, LedgerListener(spark, ledger, "g", "routing"))
     got = {(r["topic"], json.loads(r["value"])["id"]) for r in tables.read_versions(spark, facts, jobs.FACT).collect()}
     assert got == {("DWD_ORDER_INFO_I_1018", 0), ("DWD_CART_INFO_I_1018", 1)}
-    assert [tuple(r) for r in offsets.committed(spark, ledger).collect()] == [("db", "g", 0, 4)]
+    [(topic, group, partition, newest)] = [tuple(r) for r in offsets.committed(spark, ledger).collect()]
+    assert (topic, group, partition) == ("db", "g", 0) and newest > 1_700_000_000_000
     start_json = offsets.starting_offsets(offsets.committed(spark, ledger)).first()["starting_offsets"]
-    assert json.loads(start_json) == {"db": {"0": 4}}
+    assert json.loads(start_json) == {"db": {"0": newest}}
 
 
 def test_reading_goes_on_from_the_committed_position(spark, tmp_path):
     messages = derived.log_offsets(spark, SF)
     first = messages.where((F.col("offset") < 100) & (F.col("partition") < 3))
     for _ in range(2):
-        offsets.commit(first, f"{tmp_path}/ledger", "ODS_BASE_LOG_GROUP", 0)
+        offsets.commit(first, f"{tmp_path}/ledger", "ODS_BASE_LOG_GROUP")
     rest = offsets.not_yet_read(messages, offsets.committed(spark, f"{tmp_path}/ledger"))
     assert rest.count() == messages.count() - first.count()
     assert rest.where("partition = 3").count() == messages.where("partition = 3").count()
@@ -246,6 +248,87 @@ def test_incomplete_orders_go_to_the_dead_letters(spark, tmp_path):
 
 def test_positions_of_a_group(spark, tmp_path):
     messages = spark.createDataFrame([("t", 0, 4), ("t", 1, 9), ("t", 0, 5)], "topic string, partition int, offset long")
-    offsets.commit(messages, f"{tmp_path}/ledger", "g", 0)
+    offsets.commit(messages, f"{tmp_path}/ledger", "g")
     assert offsets.positions(spark, f"{tmp_path}/ledger", "g") == {"t": {0: 6, 1: 10}}
     assert offsets.positions(spark, f"{tmp_path}/ledger", "other") == {} == offsets.positions(spark, f"{tmp_path}/none", "g")
+
+
+def test_kafka_progress_moves_the_ledger_forward(spark, tmp_path):
+    path = f"{tmp_path}/ledger"
+
+    def batch(**ends):
+        end = json.dumps({"t": ends})
+        return {"sources": [{"endOffset": end}, {"endOffset": {"logOffset": 4}}, {"endOffset": None}], "observedMetrics": {}}
+
+    offsets.record_progress(spark, path, "g", batch(**{"0": 5, "1": 7}))
+    offsets.record_progress(spark, path, "g", batch(**{"0": 9, "1": 6}))
+    offsets.record_progress(spark, path, "other", batch(**{"0": 1}))
+    assert offsets.positions(spark, path, "g") == {"t": {0: 9, 1: 7}}
+    assert offsets.committed(spark, path).count() == 3
+
+
+def test_a_new_query_starts_at_the_ledgers_position(spark, tmp_path):
+    """Files changed long before the position are left out; those in the overlap are read again."""
+    import os
+
+    topic, seen = f"{tmp_path}/topic", []
+    for number in range(3):
+        spark.createDataFrame([(str(number),)], "value string").coalesce(1).write.mode("append").parquet(topic)
+        for name in os.listdir(topic):
+            if name.endswith(".parquet") and name not in seen:
+                os.utime(f"{topic}/{name}", (1_700_000_000 + 1000 * number,) * 2)
+                seen.append(name)
+    since = 1_700_000_000_000 + 2_000_000
+    rows = topics.read_folder(spark, topic, topic="t", since=since).select("value")
+    out = f"{tmp_path}/out"
+    query = start(rows.writeStream.format("parquet").option("path", out), f"{tmp_path}/checkpoint", available_now=True, name="new")
+    finish_recorded(query, LedgerListener(spark, f"{tmp_path}/ledger", "g", "new"))
+    assert [r["value"] for r in spark.read.parquet(out).collect()] == ["2"]
+    assert offsets.positions(spark, f"{tmp_path}/ledger", "g") == {"t": {0: since}}
+
+
+def test_expired_rows_are_reported_once_over_batches_and_restarts(spark, tmp_path):
+    order_topic, detail_topic, out, lost = (f"{tmp_path}/{n}" for n in ("orders", "details", "wide", "lost"))
+    batches = [([(1, text()), (2, text())], [(20, 2, text(1)), (30, 3, text(2))]),
+               ([(4, text(40))], []),                     # the holds of order 1 and line item 30 end
+               ([(5, text(5))], [(60, 6, text(100))]),    # order 5 comes after its end; the hold of order 4 ends
+               ([(6, text(99))], [(50, 5, text(6))])]     # a partner for order 5, too late to take the report back
+    for order_rows, detail_rows in batches:
+        for _ in range(2):
+            for rows, topic, make in ((order_rows, order_topic, make_orders), (detail_rows, detail_topic, make_details)):
+                topics.land(write_records(make(spark, *rows)).coalesce(1), topic) if _ == 0 else None
+            streams = [topics.read_folder(spark, topic) for topic in (order_topic, detail_topic)]
+            run(jobs.stored_order_job(*streams, f"{tmp_path}/sides", out, dims, datetime.date(2024, 6, 30),
+                                      unmatched_to=jobs.folder_sink(lost)), tmp_path)
+    got = sorted((r["topic"], json.loads(r["value"])["id"]) for r in tables.read_versions(spark, lost, jobs.FACT).collect())
+    assert got == [("ORDER_DETAIL_UNMATCHED", 30), ("ORDER_UNMATCHED", 1), ("ORDER_UNMATCHED", 4), ("ORDER_UNMATCHED", 5)]
+    assert sorted(r["detail_id"] for r in jobs.read_orders(spark, out, monthly=True).collect()) == [20, 50, 60]
+
+
+def test_a_batch_reads_files_of_its_own_ids(spark, tmp_path):
+    """What a lookup of the order sides opens grows with the ids asked for, not with what is stored."""
+    sides = jobs.OrderSides(spark, f"{tmp_path}/sides", datetime.timedelta(days=1))
+    sides.details.rows_per_file, sides.details.small_rows = 50, 0
+    for batch in range(4):
+        sides.details.write(make_details(spark, *[(1000 * batch + n, 100 * n + batch, text()) for n in range(200)]), batch, "q")
+    sides.details.merge()
+    [run_] = sides.details.manifest.current()["runs"]
+    found = sides.details.lookup(spark.createDataFrame([(101,), (102,)], "id long"))
+    assert len(run_["files"]) >= 8 and len(found.inputFiles()) <= 2
+    assert sorted(r["id"] for r in found.collect()) == [1001, 2001]
+
+
+def test_epochs_order_the_batches_of_two_checkpoints(spark, tmp_path):
+    out = f"{tmp_path}/wide"
+    schema = jobs.FACT
+
+    def job(value):
+        def write(batch, batch_id):
+            tables.write_batch(batch.selectExpr("'k' AS topic", f"concat('{value}', value) AS value"), out, batch_id, "topic")
+        return topics.read_folder(spark, f"{tmp_path}/{value}").writeStream.foreachBatch(write)
+
+    for value, batches in (("old", 3), ("new", 1)):
+        for _ in range(batches):
+            topics.land(spark.createDataFrame([("v",)], "value string"), f"{tmp_path}/{value}")
+            run(job(value), tmp_path, f"checkpoint-{value}")
+    assert [tuple(r) for r in tables.read_latest(spark, out, schema, ["topic"]).collect()] == [("k", "newv")]

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import DataStreamWriter
 
 from tradewind.schemas import MESSAGE
+from tradewind.sources import offsets
+
+# Milliseconds that a folder topic is read again behind a position taken from the ledger.
+OVERLAP = 600_000
 
 
 def kafka_options(servers: str, topics: str, start: Mapping[str, Mapping[str, int]] | None = None,
@@ -38,12 +42,26 @@ def write_kafka(messages: DataFrame, servers: str, checkpoint: str) -> DataStrea
 
 
 def read_folder(spark: SparkSession, path: str, schema: T.StructType = MESSAGE,
-                files_per_trigger: int | None = None) -> DataFrame:
-    """A folder of message files as a stream; `files_per_trigger` bounds one micro-batch."""
+                files_per_trigger: int | None = None, topic: str | None = None, since: int | None = None) -> DataFrame:
+    """A folder of message files as a stream; `files_per_trigger` bounds one micro-batch.
+
+    With `topic`, every batch's progress reports the position reached, the time of change of the newest file in epoch
+    milliseconds. `since` is the position at which a first start begins: files changed up to OVERLAP before it are
+    read once more, as files of one write do not appear in the order of their times.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    messages = reader.parquet(path)
+    if topic is None and since is None:
+        return messages
+    changed = F.unix_millis("_metadata.file_modification_time")
+    if since is not None:
+        messages = messages.where(changed >= since - OVERLAP)
+    if topic is not None:
+        messages = messages.withColumn("_changed", changed).observe(
+            offsets.FOLDER_METRIC + topic, F.max("_changed").alias("newest")).drop("_changed")
+    return messages
 
 
 def land(messages: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:

@@ -16,7 +16,6 @@ from tradewind.operators.skew import PARTNER_SALT, ROW_SALT, add_all_salts, add_
 from tradewind.plans import change_routing, dau, log_split, orders
 from tradewind.schemas import (BASE_PROVINCE, DAU_INFO, ORDER_DETAIL, ORDER_INFO_SOURCE, ORDER_WIDE, PAGE_LOG,
                                USER_INFO)
-from tradewind.sources import offsets
 from tradewind.sources.keyed_store import KeyedStore
 from tradewind.sources.manifest import VERSION, Manifest
 from tradewind.sources.tables import read_latest, read_versions, write_batch
@@ -76,12 +75,11 @@ def dim_store(spark: SparkSession, path: str) -> KeyedStore:
 
 def change_routing_job(messages: DataFrame, facts_to: Sink, dim_path: str,
                        control: Callable[[SparkSession], DataFrame] | None = None,
-                       ledger: tuple[str, str] | None = None,
                        suffix: str = names.TOPIC_SUFFIX) -> DataStreamWriter:
     """Route change events: facts and dead letters as messages, dimensions into their table.
 
-    `control` gives the table lists of each batch; `ledger` is (path, group). The batch is recorded after
-    its output, so a failure repeats it: facts are then sent again, dimension rows count once.
+    `control` gives the table lists of each batch. A failure repeats a batch: facts are then sent again, dimension
+    rows count once.
     """
 
     def route(batch: DataFrame, batch_id: int) -> None:
@@ -95,8 +93,6 @@ def change_routing_job(messages: DataFrame, facts_to: Sink, dim_path: str,
                 F.lit(names.topic(names.DEAD_LETTER_TOPIC, suffix)).alias("topic"), "value")
             facts_to(facts.unionByName(dead), batch_id)
             dim_store(batch.sparkSession, dim_path).write(dims, batch_id)
-            if ledger:
-                offsets.commit(batch, *ledger, batch_id)
         finally:
             events.unpersist()
 

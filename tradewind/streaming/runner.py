@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+import json
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
+
+from tradewind.sources import offsets
 
 INTERVAL = "5 seconds"
 
@@ -17,12 +21,43 @@ def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = False
     return writer.trigger(**trigger).start()
 
 
+class LedgerListener(StreamingQueryListener):
+    """Writes the positions of a query's batches to the ledger once each is committed."""
+
+    def __init__(self, spark: SparkSession, path: str, group_id: str, name: str):
+        self.spark, self.path, self.group_id, self.name = spark, path, group_id, name
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.name == self.name:
+            self.take(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def take(self, progress) -> None:
+        offsets.record_progress(self.spark, self.path, self.group_id, json.loads(progress.json))
+
+
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for the query to end; its failure is raised here."""
     query.awaitTermination()
     return query
 
 
+def finish_recorded(query: StreamingQuery, listener: LedgerListener) -> StreamingQuery:
+    """As ``finish``, with the ledger up to date when it returns: listeners may hear of the last batch later."""
+    finish(query)
+    for progress in query.recentProgress:
+        listener.take(progress)
+    return query
+
+
 def preview(stream: DataFrame, rows: int = 100) -> DataStreamWriter:
     """Print the first rows of every batch, to watch a stream while working on it."""
     return stream.writeStream.format("console").option("numRows", rows).option("truncate", "false")

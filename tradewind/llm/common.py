@@ -12,6 +12,7 @@ from tradewind.session import new_folder
 
 # Rows that one Arrow batch carries into Python: a few MB of ordinary texts, and bounded with long ones.
 BATCH_ROWS = 1024
+BATCH_BYTES = 64 << 20
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
@@ -23,8 +24,9 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker holds of the texts it reads."""
+    """Bound what a Python worker holds of the texts it reads: by rows, and by bytes where texts are long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def texts(column: pa.Array) -> list[bytes]:
@@ -73,3 +75,17 @@ def table_batches(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.T
             held, count = [], 0
     if held:
         yield pa.Table.from_batches(held)
+
+
+def byte_batches(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Gather small batches until they have `size` bytes."""
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for batch in batches:
+        held.append(batch)
+        count += batch.nbytes
+        if count >= size:
+            yield pa.Table.from_batches(held)
+            held, count = [], 0
+    if held:
+        yield pa.Table.from_batches(held)

@@ -4,7 +4,9 @@ All distinct words of a stretch of the corpus lie one after another as byte toke
 each merge, the positions of the token pairs that make it. Merges are replayed in rank order: the lowest rank
 that any pair has is applied at all its positions at once, and only the two neighbours of each are looked up
 again. In a word with several positions of one rank the leftmost goes first and the rest wait, as a merge may
-bring up a lower rank beside it; so each word's merges happen in the very order of a word-by-word encoder.
+bring up a lower rank beside it; so each word's merges happen in the very order of a word-by-word encoder. That takes a step
+for each such position, so a word of over LONG_WORD bytes (a run without spaces, encoded data) is replayed by itself with
+a heap of (rank, position), in steps that hardly grow with its length.
 
 A task replays the distinct words of its own rows, 32 MB of text at a time, and remembers a bounded number of
 pieces; no shuffle is needed. Words are the matches of the pattern, each encoded separately.
@@ -31,9 +33,10 @@ from tradewind.llm.common import small_batches
 from tradewind.llm.textcuts import pieces
 
 NO_RANK = np.iinfo(np.int32).max
-# Characters whose words are replayed together, and pieces that a worker remembers.
+# Characters whose words are replayed together, pieces that a worker remembers, and the longest of them.
 TEXT_AT_ONCE = 16 << 20
-REMEMBERED = 500_000
+REMEMBERED, REMEMBERED_CHARS = 500_000, 256
+LONG_WORD = 512
 
 
 class Vocabulary:
@@ -61,13 +64,57 @@ class Vocabulary:
         return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NO_RANK)
 
 
+    @functools.cached_property
+    def pairs(self) -> dict[int, int]:
+        """The rank by key of the pair."""
+        return dict(zip(self.pair_keys.tolist(), self.pair_ranks.tolist(), strict=True))
+
+
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def replay_long(word: bytes, vocab: Vocabulary) -> np.ndarray:
+    """Token ids of one word: the lowest rank first, of equal ones the leftmost."""
+    count, size, pairs = len(word), vocab.size, vocab.pairs
+    ids = vocab.byte_ids[np.frombuffer(word, dtype=np.uint8)]
+    ranks = vocab.rank(ids[:-1], ids[1:]).astype(np.int64)
+    places = np.flatnonzero(ranks != NO_RANK)
+    waiting = (ranks[places] * count + places).tolist()
+    heapq.heapify(waiting)
+    token, rank = ids.tolist(), [*ranks.tolist(), NO_RANK]
+    after, before = [*range(1, count), -1], list(range(-1, count - 1))
+
+    def pair_up(left: int, right: int) -> None:
+        found = pairs.get(token[left] * size + token[right], NO_RANK)
+        rank[left] = found
+        if found != NO_RANK:
+            heapq.heappush(waiting, found * count + left)
+
+    while waiting:
+        value, place = divmod(heapq.heappop(waiting), count)
+        if rank[place] != value:
+            continue
+        gone = after[place]
+        token[place], token[gone] = value, -1
+        rank[place] = rank[gone] = NO_RANK
+        right, left = after[gone], before[place]
+        after[place] = right
+        if right >= 0:
+            before[right] = place
+            pair_up(place, right)
+        if left >= 0:
+            pair_up(left, place)
+    return np.array([i for i in token if i >= 0], dtype=np.int32)
+
+
 def replay(words: list[bytes], vocab: Vocabulary) -> list[np.ndarray]:
     """Token ids of each word."""
+    long = {n: replay_long(word, vocab) for n, word in enumerate(words) if len(word) > LONG_WORD}
+    if long:
+        others = iter(replay([word for word in words if len(word) <= LONG_WORD], vocab))
+        return [long[n] if n in long else next(others) for n in range(len(words))]
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     data = np.frombuffer(b"".join(words), dtype=np.uint8)
     count = len(data)
@@ -144,6 +191,7 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.vocab, self.pattern = vocabulary(path), regex.compile(pattern)
         self.known: dict[str, tuple[int, str, bytes]] = {}
+        self.long: list[str] = []
 
     def learn(self, found: list[str]) -> None:
         """Replay the pieces of these texts that are not known."""
@@ -162,6 +210,13 @@ class Encoder:
             listed = [i for word in own for i in ids[word].tolist()]
             self.known[piece] = (len(listed), "".join([f" {i}" for i in listed]),
                                  b"".join([tokens[i] for i in listed]))
+        self.long = [piece for piece in order if len(piece) > REMEMBERED_CHARS]
+
+    def forget(self) -> None:
+        """Let go of the long pieces."""
+        for piece in self.long:
+            self.known.pop(piece, None)
+        self.long = []
 
     def encode(self, text: str) -> tuple[int, str, bytes]:
         """Number of ids, the ids as text with a space before each, and the bytes that they decode to."""
@@ -206,6 +261,7 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: s
             else:
                 left.append(np.array(listed.split(), dtype=np.int32))
                 right.append(data)
+        coder.forget()
         return pa.RecordBatch.from_arrays(
             [pa.array(ids, id_kind), pa.array(counts, pa.int64()), pa.array(left, kinds[0]), pa.array(right, kinds[1])],
             names)

@@ -1,15 +1,19 @@
 """Quality rules: base measures of every text, and lines that too many documents of a host share.
 
 Lines are lower-cased, their digits made zeros and their white space single, then hashed. A line that over
-`max_documents` different texts of one host have, is frequent. A frequent line is boilerplate if most texts that
-have it keep enough other words; where most do not, the line is what copies of one text have in common, which is
-for the near-duplicate stage to judge. Boilerplate lines are removed, and a document is rejected if it fails the
-base rules or if too few of its words are left.
+`max_documents` different texts of one host have, is frequent. A text is depleted if too few of its words would be left
+without its frequent lines. A frequent line is boilerplate if over `max_documents` texts that are not depleted have it,
+however many depleted ones (stubs) have it too. Boilerplate lines are removed, and a document is rejected if it fails
+the base rules or if too few of its words are left. A line that only depleted texts have is what copies and edited
+copies of one text have in common; were it removed, all of them would go and none be left, so that is for the
+near-duplicate stage to judge. For the same reason exact copies count as one text.
 
-Exact copies count as one text, so a group of them never makes its own lines frequent.
+Counts are summed before they meet, and the joins of lines with the few frequent ones are salted, so that a line that
+a large share of a host has does not gather in one task.
 
 Defined results: a null text has no words and fails the base rules; a null host is a host of its own; equal rows
-get equal verdicts and are all returned; an empty table gives no rows.
+get equal verdicts and are all returned; an empty table gives no rows; extra columns, whatever their names, are kept by
+`clean` and not read; a long text is one row with its different lines.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ DIGITS = re.compile(rb"[0-9]+")
 MAX_DOCUMENTS = 10
 # A text is depleted if fewer words, or a smaller share of its words, are left.
 LEFT_WORDS, LEFT_SHARE = 20, 0.3
+# Tasks that the rows of one frequent line are spread over.
+SALTS = 8
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -103,27 +109,34 @@ def _measured(docs: DataFrame, id_col: str, host_col: str, text_col: str) -> Dat
         run, f"id {id_type}, host {host_type}, {kinds}, text_key binary, lines array<long>, words array<int>")
 
 
-def _boilerplate(rows: DataFrame, max_documents: int) -> tuple[DataFrame, DataFrame]:
-    """(host, line) of the boilerplate, and (host, text_key, lines, removed) of the texts that have such lines."""
+def _of_lines(lines: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of some (host, line); those of one line are spread over SALTS tasks."""
+    salted = chosen.select("host", "line", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    own = lines.withColumn("salt", F.pmod(F.xxhash64("text_key"), F.lit(SALTS)).cast("int"))
+    return own.join(salted, ["host", "line", "salt"]).drop("salt")
+
+
+def _depleted(n_words: str, removed: str) -> Column:
+    left = F.col(n_words) - F.col(removed)
+    return (left < LEFT_WORDS) | (left < LEFT_SHARE * F.col(n_words))
+
+
+def _boilerplate(rows: DataFrame, max_documents: int) -> DataFrame:
+    """(host, text_key, removed_lines, removed_words) of the texts that have boilerplate lines."""
     different = rows.select(F.coalesce(F.col("host").cast("string"), F.lit("\0")).alias("host"), "text_key", "n_words",
                             "lines", "words").dropDuplicates(["host", "text_key"])
     lines = settle(different.select("host", "text_key", "n_words", F.explode(F.arrays_zip("lines", "words")).alias("x")).select(
         "host", "text_key", "n_words", F.col("x.lines").alias("line"), F.col("x.words").alias("words")), "quality-lines")
-    frequent = lines.groupBy("host", "line").count().where(F.col("count") > max_documents).select("host", "line")
-    carried = settle(lines.join(frequent, ["host", "line"]), "quality-frequent")
-
-    def depleted(removed: str) -> Column:
-        left = F.col("n_words") - F.col(removed)
-        return (left < LEFT_WORDS) | (left < LEFT_SHARE * F.col("n_words"))
-
-    losing = carried.groupBy("host", "text_key").agg(
-        F.first("n_words").alias("n_words"), F.sum("words").alias("removed")).select(
-        "host", "text_key", depleted("removed").cast("int").alias("gone"))
-    wrapped = carried.join(losing, ["host", "text_key"]).groupBy("host", "line").agg(
-        F.avg("gone").alias("share")).where("share < 0.5").select("host", "line")
-    removed = carried.join(wrapped, ["host", "line"]).groupBy("host", "text_key").agg(
+    frequent = lines.groupBy("host", "line").count().where(F.col("count") > max_documents)
+    carried = settle(_of_lines(lines, frequent), "quality-frequent")
+    whole = carried.groupBy("host", "text_key").agg(
+        F.first("n_words").alias("n_words"), F.sum("words").alias("removed")).where(
+        ~_depleted("n_words", "removed")).select("host", "text_key")
+    boilerplate = carried.join(whole, ["host", "text_key"], "left_semi").groupBy("host", "line").count().where(
+        F.col("count") > max_documents)
+    removed = _of_lines(carried, boilerplate).groupBy("host", "text_key").agg(
         F.sort_array(F.collect_list("line")).alias("removed_lines"), F.sum("words").alias("removed_words"))
-    return wrapped, settle(removed, "quality-removed")
+    return settle(removed, "quality-removed")
 
 
 def _judged(rows: DataFrame, removed: DataFrame) -> DataFrame:
@@ -132,30 +145,26 @@ def _judged(rows: DataFrame, removed: DataFrame) -> DataFrame:
     joined = rows.drop("lines", "words").join(
         keys, (F.coalesce(F.col("host").cast("string"), F.lit("\0")) == F.col("host key"))
         & (F.col("text_key") == F.col("text key")), "left").drop("host key", "text key")
-    left = F.col("n_words") - F.coalesce("removed_words", F.lit(0))
-    depleted = F.col("removed_words").isNotNull() & (
-        (left < LEFT_WORDS) | (left < LEFT_SHARE * F.col("n_words")))
-    return joined.withColumn("base_failed", base_failed()).withColumn("left_words", left).withColumn(
-        "kept", ~F.col("base_failed") & ~depleted)
+    joined = joined.withColumn("base_failed", base_failed()).withColumn(
+        "left_words", F.col("n_words") - F.coalesce("removed_words", F.lit(0)))
+    depleted = F.col("removed_words").isNotNull() & _depleted("n_words", "removed_words")
+    return joined.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text",
           max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """(id, host, measures, text_key, removed_lines, removed_words, base_failed, left_words, kept) for every row."""
     rows = settle(_measured(docs, id_col, host_col, text_col), "quality-measures")
-    return _judged(rows, _boilerplate(rows, max_documents)[1])
+    return _judged(rows, _boilerplate(rows, max_documents))
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text",
           chars_col: str | None = "n_chars", max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """The kept rows, with the columns of docs; boilerplate lines are taken out of their texts."""
     rows = settle(_measured(docs, id_col, host_col, text_col), "quality-measures")
-    _, removed = _boilerplate(rows, max_documents)
-    verdicts = _judged(rows, removed).where("not kept or removed_words is not null").select(
-        "text_key", "host", "kept", "removed_lines").withColumn(
-        "host key", F.coalesce(F.col("host").cast("string"), F.lit("\0"))).select(
-        F.col("host key"), F.col("text_key").alias("text key"), F.col("kept").alias("kept row"),
-        F.col("removed_lines").alias("removed lines")).dropDuplicates(["host key", "text key"])
+    verdicts = _judged(rows, _boilerplate(rows, max_documents)).where("not kept or removed_words is not null").select(
+        F.coalesce(F.col("host").cast("string"), F.lit("\0")).alias("host"), "text_key", "kept", "removed_lines").dropDuplicates(
+        ["host", "text_key"])
     names, kinds = docs.columns, [field.dataType.simpleString() for field in docs.schema]
     at, chars = names.index(text_col), names.index(chars_col) if chars_col in names else None
 
@@ -180,7 +189,10 @@ def clean(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", tex
             yield pa.RecordBatch.from_arrays(columns, names)
 
     fields = ", ".join(f"`{name}` {kind}" for name, kind in zip(names, kinds, strict=True))
-    host = F.coalesce(F.col(f"`{host_col}`").cast("string"), F.lit("\0"))
-    kept = docs.withColumn("host key", host).withColumn("text key", text_key(text_col)).join(verdicts, ["host key", "text key"], "left").where(
-        F.coalesce("kept row", F.lit(True)))
-    return kept.select(*[F.col(f"`{name}`") for name in names], "removed lines").mapInArrow(without, fields)
+    # The row goes as one struct, so that no column of it can clash with a name used here.
+    held = docs.select(F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"),
+                       F.coalesce(F.col(f"`{host_col}`").cast("string"), F.lit("\0")).alias("host"),
+                       text_key(text_col).alias("text_key"))
+    kept = held.join(verdicts, ["host", "text_key"], "left").where(F.coalesce("kept", F.lit(True)))
+    columns = [F.col("row").getField(name).alias(f"c{n}") for n, name in enumerate(names)]
+    return kept.select(*columns, "removed_lines").mapInArrow(without, fields)

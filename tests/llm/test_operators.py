@@ -320,16 +320,17 @@ def test_chat_layouts_round_trip(spark):
         "9 AS id", f"from_json(to_json(named_struct('prompt', '{hard.replace(chr(92), chr(92) * 2)}', 'response', "
         f"'{hard.replace(chr(92), chr(92) * 2)}')), '{chat.RECORD}') AS record"))
     turns = chat.canonical(records, "record")
-    layouts = {r["id"]: (r["layout"], [tuple(t) for t in r["turns"]]) for r in turns.collect()}
+    layouts = {r["id"]: (r["layout"], None if r["turns"] is None else [tuple(t) for t in r["turns"]]) for r in turns.collect()}
     assert layouts[1] == ("prompt", [("user", "p"), ("assistant", "r")])
-    assert layouts[2] == ("instruction with input", [("user", "i\nn"), ("assistant", "o")])
+    assert layouts[2] == ("instruction", [("user", "i\nn"), ("assistant", "o")])
     assert layouts[3] == ("messages", [("a\nb<|", ""), ("assistant", "")])
     assert layouts[4] == ("conversations", [("user", "q"), ("assistant", "a"), ("tool", "t")])
-    assert layouts[5] == layouts[6] == layouts[7] == (None, []) and layouts[8] == ("messages", [])
+    assert layouts[5] == layouts[6] == layouts[7] == (None, None) and layouts[8] == ("messages", [])
     formatted = chat.format_turns(turns, "id")
     read = formatted.select("id", chat.read_turns(formatted["formatted"]).alias("turns"),
                             chat.read_loss(formatted["formatted"], formatted["loss_spans"]).alias("loss"))
-    for r in read.collect():
+    assert {r["id"] for r in formatted.where("formatted IS NULL").collect()} == {5, 6, 7}
+    for r in read.where("turns IS NOT NULL").collect():
         want = layouts[r["id"]][1]
         assert [tuple(t) for t in r["turns"]] == want
         assert r["loss"] == [text for role, text in want if role == "assistant" and text]

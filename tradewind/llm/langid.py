@@ -4,16 +4,21 @@ Texts become lower-case letters with single spaces for all else; n-grams of two
 into 2^16 buckets by integer arithmetic over whole batches, and the broadcast matrix of log probabilities
 (buckets x languages) is gathered and summed by document.
 
-The model is fitted on a bounded sample: at most about `sample` documents of each language.
+The model is fitted on a bounded sample: at most about `sample` documents of each language. A posterior says which of
+the learned languages fits best, not whether any fits, and is near 1 for any text of some length. So `typical` adds to
+a model how likely an n-gram of each language's labelled documents is on average, and `languages` can reject texts
+far below that: other languages, encoded data, random letters.
 
 Defined results: a null text or one without a letter is `und` with score 0; null labels teach nothing; the
-smaller name wins a tie; without any label every text is `und`.
+smaller name wins a tie; without any label every text is `und`; equal rows score alike; a long text is scored in
+pieces; an empty table gives no rows; extra columns, whatever their names, are kept if asked for and not read. Over
+MOST_LANGUAGES different labels are refused, as the model has a column for each.
 """
 
 from __future__ import annotations
 
 import functools
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +31,9 @@ BUCKETS = 1 << 16
 ORDERS = (2, 3)
 SAMPLE = 4000
 SMOOTHING = 0.5
+MOST_LANGUAGES = 1000
+# A text is rejected this many deviations of the language's labelled documents below their median.
+DEVIATIONS = 8.0
 # Characters that are turned into n-grams at once.
 PIECE = 1 << 20
 UNKNOWN = "und"
@@ -37,6 +45,8 @@ class Model:
     languages: tuple[str, ...]
     log_likelihood: np.ndarray  # buckets x languages, float32
     log_prior: np.ndarray
+    # The least mean log probability of an n-gram that a text of each language has; see `typical`.
+    floor: np.ndarray | None = None
 
 
 @functools.cache
@@ -74,11 +84,17 @@ def _bucket_counts(codes: np.ndarray) -> np.ndarray:
     return sum(np.bincount(buckets(codes, order), minlength=BUCKETS) for order in ORDERS)
 
 
+def _labelled_sample(docs: DataFrame, sample: int) -> DataFrame:
+    labelled = docs.where("lang is not null").select("doc_id", "text", "lang")
+    if labelled.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"over {MOST_LANGUAGES} different languages are named")
+    return bounded_sample(labelled, "lang", "doc_id", sample, "langid")
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """docs: doc_id, text, lang. None if no document has a label."""
     small_batches(docs.sparkSession)
-    chosen = bounded_sample(docs.where("lang is not null").select("doc_id", "text", "lang"), "lang", "doc_id", sample,
-                            "langid")
+    chosen = _labelled_sample(docs, sample)
 
     def run(batches):
         sums: dict[str, np.ndarray] = {}
@@ -146,22 +162,46 @@ def log_scores(found: list[np.ndarray], model: Model) -> np.ndarray:
     return out
 
 
-def identify(found: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
-    """Language and its posterior probability for each text."""
+def identify(found: list[str | None], model: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, its posterior probability, and the mean log probability of an n-gram in it, for each text."""
     codes = [letters(text) for text in found]
     known = np.array([bool((x != SPACE).any()) for x in codes], dtype=bool)
     logs = log_scores(codes, model)
     best = logs.argmax(axis=1) if len(found) else np.empty(0, dtype=int)
     sure = 1 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1) if len(found) else np.empty(0)
     names = [model.languages[i] if ok else UNKNOWN for i, ok in zip(best, known, strict=True)]
-    return names, np.where(known, sure, 0.0)
+    grams = np.array([sum(max(0, len(x) - order + 1) for order in ORDERS) for x in codes])
+    mean = (logs[np.arange(len(found)), best] - model.log_prior[best]) / np.maximum(grams, 1)
+    return names, np.where(known, sure, 0.0), mean
+
+
+def typical(docs: DataFrame, model: Model | None, sample: int = SAMPLE) -> Model | None:
+    """The model with a floor for each language: DEVIATIONS robust deviations, taken from the lower quartile, below
+    the median of its labelled documents. A language without documents of its own rejects nothing."""
+    if model is None:
+        return None
+    small_batches(docs.sparkSession)
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            names, _, mean = identify(batch.column(0).to_pylist(), held.value)
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(names, pa.string()), pa.array(mean)], ["lang", "found", "mean"])
+
+    rows = _labelled_sample(docs, sample).select("text", "lang").mapInArrow(run, "lang string, found string, mean double")
+    found = {r["lang"]: r for r in rows.where("lang = found").groupBy("lang").agg(
+        F.percentile_approx("mean", 0.25, 10_000).alias("quarter"), F.percentile_approx("mean", 0.5, 10_000).alias("half")).collect()}
+    floor = [found[name]["half"] - DEVIATIONS * max((found[name]["half"] - found[name]["quarter"]) / 0.6745, 0.02)
+             if name in found else -np.inf for name in model.languages]
+    return replace(model, floor=np.array(floor))
 
 
 def languages(docs: DataFrame, model: Model | None, columns: list[str], text_col: str = "text",
               accept: float | None = None) -> DataFrame:
     """The named columns, lang_pred and score for every whole text.
 
-    With `accept`, only the named columns of the documents that have a language and that score at least.
+    With `accept`, only the named columns of the documents that have a language and that score at least, and are
+    as likely in it as the model's floor asks.
     """
     small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
@@ -174,14 +214,16 @@ def languages(docs: DataFrame, model: Model | None, columns: list[str], text_col
         for batch in batches:
             found = batch.column(len(columns)).to_pylist()
             if held.value is None:
-                best, sure = [UNKNOWN] * len(found), np.zeros(len(found))
+                best, sure, mean = [UNKNOWN] * len(found), np.zeros(len(found)), np.zeros(len(found))
             else:
-                best, sure = identify(found, held.value)
+                best, sure, mean = identify(found, held.value)
             kept = [batch.column(i) for i in range(len(columns))]
             if accept is None:
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(best, pa.string()), pa.array(sure)], names)
             else:
-                keep = pa.array([name != UNKNOWN and p >= accept for name, p in zip(best, sure, strict=True)], pa.bool_())
+                floor = dict(zip(held.value.languages, held.value.floor, strict=True)) if held.value and held.value.floor is not None else {}
+                keep = pa.array([name != UNKNOWN and p >= accept and m >= floor.get(name, -np.inf)
+                                 for name, p, m in zip(best, sure, mean, strict=True)], pa.bool_())
                 yield pa.RecordBatch.from_arrays([column.filter(keep) for column in kept], names)
 
     return docs.select(*columns, F.col(text_col).alias("text of the row")).mapInArrow(run, schema)

@@ -40,12 +40,12 @@ def query(function: Query) -> Query:
 
 # --- log split ---------------------------------------------------------------------------------------
 
-def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_split.parse(derived.raw_log(spark, sf_dir))
+def _log(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
+    return log_split.parse(derived.raw_log(spark, sf_dir), parts=parts)
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_split.page_log(_log(spark, sf_dir))
+    return log_split.page_log(_log(spark, sf_dir, "page"))
 
 
 @query
@@ -60,22 +60,22 @@ def log_page(spark, sf_dir):
 
 @query
 def log_display(spark, sf_dir):
-    return log_split.display_log(_log(spark, sf_dir))
+    return log_split.display_log(_log(spark, sf_dir, "page", "displays"))
 
 
 @query
 def log_action(spark, sf_dir):
-    return log_split.action_log(_log(spark, sf_dir))
+    return log_split.action_log(_log(spark, sf_dir, "page", "actions"))
 
 
 @query
 def log_start(spark, sf_dir):
-    return log_split.start_log(_log(spark, sf_dir))
+    return log_split.start_log(_log(spark, sf_dir, "start"))
 
 
 @query
 def log_split_counts(spark, sf_dir):
-    messages = log_split.split_messages(_log(spark, sf_dir))
+    messages = log_split.split_messages(_log(spark, sf_dir, *log_split.PARTS))
     return messages.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
 
 
@@ -213,9 +213,10 @@ def dau_daily_partitions(spark, sf_dir):
 
 @query
 def alias_all_days(spark, sf_dir):
-    """The view over all days."""
-    view = tables.create_views(spark, _dau_table(spark, sf_dir), DAU_INFO, dau.KEY, "dau_info")
-    return spark.table(view).groupBy("dt").agg(
+    """The alias over all days, defined in one session and read by its name in another."""
+    root = new_folder(spark, "aliases")
+    tables.define_alias(spark, root, "dau_info", _dau_table(spark, sf_dir), DAU_INFO, dau.KEY)
+    return tables.open_alias(tune(spark.newSession()), root, "dau_info_all").groupBy("dt").agg(
         F.count(F.lit(1)).alias("docs"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 

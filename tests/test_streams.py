@@ -63,13 +63,40 @@ def test_absent_table_is_empty(spark, tmp_path):
     assert jobs.read_dau(spark, f"{tmp_path}/nowhere").count() == 0
 
 
-def test_reads_of_one_day_are_pruned(spark, tmp_path):
+def test_aliases_outlive_their_session(spark, tmp_path):
+    out, root = f"{tmp_path}/dau", f"{tmp_path}/aliases"
+    visits = dau.first_visits(pages(spark, page("a", MIDNIGHT), page("a", MIDNIGHT - 1)))
+    tables.write_batch(visits, out, 0)
+    tables.write_batch(visits.where("dt = '2024-01-02'").withColumn("brand", F.lit("newer")), out, 1)
+    tables.define_alias(spark, root, "visits", out, jobs.DAU_VISIT, dau.KEY)
+    other = spark.newSession()
+    assert tables.open_alias(other, root, "visits_all").count() == 2
+    day = tables.open_alias(other, root, "visits_20240102_query")
+    assert [(r["mid"], r["brand"]) for r in day.collect()] == [("a", "newer")]
+    assert all("dt=2024-01-02" in name for name in day.inputFiles())
+    assert tables.open_alias(other, root, "visits_20300102_query").count() == 0
+    assert tables.register_aliases(other, root) == ["visits_all"]
+    plan = other.sql("SELECT count(*) FROM visits_all WHERE dt = '2024-01-02'")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "ReadSchema: struct<mid:string>" in plan
+    with pytest.raises(KeyError):
+        tables.open_alias(other, root, "nothing_all")
+
+
+def test_compacted_days_read_the_same(spark, tmp_path):
     out = f"{tmp_path}/dau"
-    tables.write_batch(dau.first_visits(pages(spark, page("a", MIDNIGHT), page("a", MIDNIGHT - 1))), out, 0)
-    tables.create_views(spark, out, jobs.DAU_VISIT, dau.KEY, "visits", ["2024-01-01"])
-    assert spark.table("visits_all").count() == 2 and spark.table("visits_20240101_query").count() == 1
-    plan = spark.sql("SELECT mid FROM visits_all WHERE dt = '2024-01-02'")._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(dt" in plan
+    for batch in range(5):
+        tables.write_batch(dau.first_visits(pages(spark, page("a", MIDNIGHT + batch), page(f"m{batch}", MIDNIGHT))), out, batch)
+    before = sorted(map(tuple, tables.read_latest(spark, out, jobs.DAU_VISIT, dau.KEY).collect()), key=repr)
+    reader = tables.read_latest(spark, out, jobs.DAU_VISIT, dau.KEY)
+    for grace in (3600, 0):
+        tables.compact_days(spark, out, jobs.DAU_VISIT, dau.KEY, ["2024-01-02", "2030-01-01"], grace=grace)
+        assert sorted(map(tuple, tables.read_latest(spark, out, jobs.DAU_VISIT, dau.KEY).collect()), key=repr) == before
+        if grace:
+            assert reader.count() == len(before) == 6
+    tables.compact_days(spark, out, jobs.DAU_VISIT, dau.KEY, [], grace=0)
+    names = [n for n in tables.Files(spark, out).names("dt=2024-01-02") if n.endswith(".parquet")]
+    assert len(names) == 1
+    assert sorted(map(tuple, tables.read_latest(spark, out, jobs.DAU_VISIT, dau.KEY).collect()), key=repr) == before
 
 
 def test_each_batch_sees_the_newest_dimensions(spark, tmp_path):

@@ -7,7 +7,7 @@ dead letters, where the batch would otherwise fail.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -34,9 +34,18 @@ _ROUTE = f"""CASE WHEN NOT ({_READABLE}) THEN 'dead' WHEN rec.err IS NOT NULL TH
              WHEN {_COMPLETE} THEN 'split' ELSE 'dead' END"""
 
 
-def parse(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Each line with its record and the route it takes: error, split or dead."""
-    rec = F.from_json("value", RAW_LOG, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+# The parts of a record beside its common fields, time and error.
+PARTS = ("page", "displays", "actions", "start")
+
+
+def parse(lines: DataFrame, value: str = "value", parts: Sequence[str] = PARTS) -> DataFrame:
+    """Each line with its record and the route it takes: error, split or dead.
+
+    A caller that needs only some `parts` names them: the others are skipped by the JSON parser, neither made into
+    columns nor checked, so a line whose only fault lies in a skipped part is not dead.
+    """
+    schema = T.StructType([f for f in RAW_LOG.fields if f.name not in PARTS or f.name in parts])
+    rec = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     parsed = once(lines.select(F.col(value).alias("value")), "rec", rec, "value")
     return parsed.selectExpr("value", "rec", f"{_ROUTE} AS route")
 

@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm.test_operators import SCHEMA, SF
-from tradewind.llm import chat, langid, quality, toxicity
+from tradewind.llm import chat, langid, neighbours, quality, toxicity, url_filter
 from tradewind.llm.queries import QUERIES
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -142,3 +142,60 @@ def test_pipeline_end_to_end(spark):
 def test_registered_queries(spark, name, columns):
     found = QUERIES[name](spark, SF)
     assert found.columns == columns.split() and found.count() > 0
+
+
+def brute_posterior(rows, suffixes):
+    """host -> (mean, lower), by the formulas over plain dictionaries."""
+    def parts(host):
+        labels = host.split(".")
+        size = 2 if ".".join(labels[-2:]) in suffixes else 1
+        return ".".join(labels[-size - 1:]), ".".join(labels[-size:])
+
+    counts = {}
+    for host, bad in rows:
+        n, b = counts.get(host, (0, 0))
+        counts[host] = (n + (bad is not None), b + (bad or 0))
+
+    def summed(key):
+        out = {}
+        for host, (n, b) in counts.items():
+            m, c = out.get(key(host), (0, 0))
+            out[key(host)] = (m + n, c + b)
+        return out
+
+    def shrink(level, parent):
+        seen = [(n, b, parent[k]) for k, (n, b) in level.items() if n]
+        pairs = sum(p * (1 - p) * (n - 1) for n, b, p in seen)
+        excess = sum((b - n * p) ** 2 / n - p * (1 - p) for n, b, p in seen)
+        ratio = min(url_filter.MOST_RATIO, max(url_filter.LEAST_RATIO, excess / pairs)) if pairs else url_filter.LEAST_RATIO
+        weight = 1 / ratio - 1
+        return {k: (b + weight * parent[k]) / (n + weight) for k, (n, b) in level.items()}, weight
+
+    total = [sum(x) for x in zip(*counts.values())]
+    suffix, domain = summed(lambda h: parts(h)[1]), summed(lambda h: parts(h)[0])
+    by_suffix, _ = shrink(suffix, {k: (total[1] + 0.5) / (total[0] + 1) for k in suffix})
+    of = {parts(h)[0]: parts(h)[1] for h in counts}
+    by_domain, _ = shrink(domain, {k: by_suffix[of[k]] for k in domain})
+    mean, weight = shrink(counts, {h: by_domain[parts(h)[0]] for h in counts})
+    return {h: (m, m - url_filter.Z * (m * (1 - m) / (counts[h][0] + weight + 1)) ** 0.5) for h, m in mean.items()}
+
+
+def test_posterior_of_hosts_matches_brute_force(spark):
+    rng = random.Random(9)
+    hosts = [f"{sub}{name}.{suffix}" for suffix in ("com", "co.uk", "org", "com.br") for name in ("a", "b", "cc")
+             for sub in ("", "www.", "x.y.")] + ["", "localhost", "co.uk"]
+    bias = {h: rng.random() for h in hosts}
+    made = [(h, rng.choice([None, int(rng.random() < bias[h]), int(rng.random() < bias[h])])) for h in hosts for _ in range(rng.randint(0, 40))]
+    want = brute_posterior(made, url_filter.SUFFIXES)
+    got = {r["host"]: (r["mean"], r["lower"]) for r in url_filter.host_reputation(spark.createDataFrame(made, "host string, bad int")).collect()}
+    assert set(got) == set(want)
+    for host, pair in want.items():
+        assert np.allclose(got[host], pair, rtol=1e-9), host
+
+
+def test_neighbours_leave_the_session_as_it_was(spark):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(setting, "777")
+    frame = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], "vec_id long, embedding array<double>")
+    assert neighbours.nearest(frame, frame.where("vec_id % 20 = 0"), 3).count() == 9
+    assert spark.conf.get(setting) == "777"

@@ -12,7 +12,7 @@ from tradewind.session import new_folder
 
 # Rows that one Arrow batch carries into Python: a few MB of ordinary texts, and bounded with long ones.
 BATCH_ROWS = 1024
-BATCH_BYTES = 64 << 20
+BATCH_BYTES = 16 << 20
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import settle, table_batches
@@ -185,7 +185,24 @@ def _searcher(k: int):
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of `vectors` nearest to each query, nearest first."""
     spark = vectors.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting, None)
+    try:
+        partial = _found(spark, vectors, queries, k, id_col, vector_col, setting)
+    finally:
+        # Both steps are written by now; what other operators build later keeps the session's own setting.
+        spark.conf.set(setting, before) if before is not None else spark.conf.unset(setting)
+    # The rows of one query id may have found the same neighbour.
+    partial = partial.groupBy("query_id", "vec_id", "place").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
+        "query_id", "rank", "vec_id", "score")
+
+
+def _found(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int, id_col: str, vector_col: str,
+           setting: str) -> DataFrame:
+    """(query_id, vec_id, place, score): the best of each tile of query blocks and candidate blocks."""
+    spark.conf.set(setting, "4096")
 
     def packed(df: DataFrame, most: int | None, label: str) -> DataFrame:
         rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
@@ -208,11 +225,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
         given.select(cells(down).alias("r"), F.pmod(F.xxhash64("block"), F.lit(across)).cast("int").alias("s"),
                      F.lit(1).alias("kind"), "block", *BLOCK_NAMES))
     # A row is a whole block here: few of them to an Arrow batch.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
-    partial = settle(grid.repartition(down * across, "r", "s").sortWithinPartitions("r", "s", "kind").mapInArrow(
+    spark.conf.set(setting, "8")
+    return settle(grid.repartition(down * across, "r", "s").sortWithinPartitions("r", "s", "kind").mapInArrow(
         _searcher(k), "query_id long, vec_id long, place long, score double"), "neighbour-partial")
-    # The rows of one query id may have found the same neighbour.
-    partial = partial.groupBy("query_id", "vec_id", "place").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")

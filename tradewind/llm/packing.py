@@ -36,7 +36,7 @@ QUERY_TOKENS = 24
 FIRST = 64
 K1, B = 1.2, 0.75
 # Pieces that a worker remembers, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 1_000_000, 256
+REMEMBERED, REMEMBERED_CHARS = 400_000, 256
 # Bytes of text whose different pieces are looked up together.
 TEXT_AT_ONCE = 4 << 20
 WHITE = regex.compile(r"\s")
@@ -148,6 +148,7 @@ def _tokenized(docs: DataFrame, path: str, window: int, id_col: str, text_col: s
                     sequence += full
             if out:
                 yield _batch(out, kind_of_id)
+            pa.default_memory_pool().release_unused()
         yield _batch([(COUNTS, row, None, 0, 0, 0, 0, None, 0, counts.tobytes())], kind_of_id)
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(

@@ -1,9 +1,10 @@
 """URL filter: host rules first, then the host's reputation by empirical Bayes.
 
-Labelled pages count as outcomes, bad or not, of their host. The bad share of a suffix (last label) is shrunk
-towards the whole, that of a registered domain (last two labels) towards its suffix, that of a host towards its
-domain, each by a beta prior whose weight is fitted by moments from how much siblings differ. A host is blocked
-if its share is above `limit` with the given certainty: mean less z standard deviations of the posterior.
+Labelled pages count as outcomes, bad or not, of their host. The bad share of a suffix (the last label, or more where a
+country registers names below a second one) is shrunk towards the whole, that of a registered domain (the suffix and
+one label) towards its suffix, that of a host towards its domain, each by a beta prior whose weight is fitted by
+moments from how much siblings differ. A host is blocked if its share is above `limit` with the given certainty: mean
+less z standard deviations of the posterior.
 
 Defined results: a null URL, or one without `://`, has an empty host and path; the empty host is judged like any
 other; a page whose outcome is null counts for nothing; equal rows are all returned; without labels no host is
@@ -20,6 +21,13 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.common import settle
 
+# Suffixes of two labels under which names are registered. A fuller list can be given as a parameter.
+SUFFIXES = (
+    "ac.jp", "ac.uk", "co.id", "co.il", "co.in", "co.jp", "co.ke", "co.kr", "co.nz", "co.th", "co.uk", "co.za", "com.ar",
+    "com.au", "com.br", "com.cn", "com.co", "com.eg", "com.hk", "com.mx", "com.my", "com.ng", "com.pe", "com.ph", "com.pk",
+    "com.pl", "com.sa", "com.sg", "com.tr", "com.tw", "com.ua", "com.ve", "com.vn", "edu.au", "edu.cn", "gov.au", "gov.br",
+    "gov.cn", "gov.in", "gov.uk", "me.uk", "ne.jp", "net.au", "net.br", "net.cn", "nhs.uk", "or.jp", "or.kr", "org.au",
+    "org.br", "org.cn", "org.nz", "org.uk", "org.za")
 LIMIT, Z = 0.5, 1.645
 LEAST_RATIO, MOST_RATIO = 1e-4, 0.99
 
@@ -60,13 +68,21 @@ def _shrunk(level: DataFrame) -> tuple[Column, float]:
     return (F.col("bad") + weight * F.col("parent")) / (F.col("n") + weight), weight
 
 
-def host_reputation(outcomes: DataFrame) -> DataFrame:
+def domain_and_suffix(host: str, suffixes: Sequence[str]) -> tuple[Column, Column]:
+    """The registered domain and the suffix of a host; a host of one label is both."""
+    last_two = F.substring_index(host, ".", -2)
+    double = last_two.isin(*suffixes)
+    return (F.when(double, F.substring_index(host, ".", -3)).otherwise(last_two),
+            F.when(double, last_two).otherwise(F.substring_index(host, ".", -1)))
+
+
+def host_reputation(outcomes: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """outcomes: host, bad (1, 0 or null). (host, n, mean, lower): posterior of the host's bad share."""
+    domain, suffix = domain_and_suffix("host", suffixes)
     z = F.lit(Z)
     hosts = settle(outcomes.groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad")).select(
-        "host", F.substring_index("host", ".", -2).alias("domain"), F.substring_index("host", ".", -1).alias("suffix"),
-        "n", "bad"), "hosts")
+        "host", domain.alias("domain"), suffix.alias("suffix"), "n", "bad"), "hosts")
     total = hosts.agg(F.sum("n"), F.sum("bad")).first()
     start = ((total[1] or 0) + 0.5) / ((total[0] or 0) + 1.0)
 
@@ -84,13 +100,13 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]], limit: float = LIMIT,
-          url: str = "url", keep: Sequence[str] = ("page_id",)) -> DataFrame:
+          url: str = "url", keep: Sequence[str] = ("page_id",), suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """The kept columns, host, path, rule, lower (the host's bound) and verdict of every page.
 
     outcomes: url, bad (1, 0 or null).
     """
     host, path = host_and_path(url)
-    known = host_reputation(outcomes.select(host_and_path("url")[0].alias("host"), F.col("bad").cast("int").alias("bad")))
+    known = host_reputation(outcomes.select(host_and_path("url")[0].alias("host"), F.col("bad").cast("int").alias("bad")), suffixes)
     rows = pages.select(*keep, host.alias("host"), path.alias("path"))
     rule, verdict = matching_rule(rules, F.col("host"), F.col("path"))
     return rows.join(known.select("host", "lower"), "host", "left").select(

@@ -23,6 +23,7 @@ HEADLINES = [
     "search_total_hits", "terms_avg_topk", "offset_ledger", "stream_log_split", "stream_dau_dedup",
     "stream_dau_wide", "stream_order_join", "stream_change_routing", "stream_restart", "stream_new_checkpoint",
     "stream_dau_dedup_bounded", "dau_funnel_counts", "keyed_sink_layout", "alias_all_days", "order_mapping_cast",
+    "stream_dau_changing_dims", "stream_order_new_checkpoint", "stream_unmatched",
 ]
 
 

@@ -69,9 +69,18 @@ def page_of(hits: DataFrame, sort: Sequence[Column], start: int, size: int) -> D
 
 def page_with_total(hits: DataFrame, sort: Sequence[Column], start: int, size: int,
                     total: str = "total_hits") -> DataFrame:
-    """A page with the number of all hits beside it. The count is its own aggregate, read as a scalar."""
-    count = hits.agg(F.count(F.lit(1)).alias(total))
-    return page_of(hits, sort, start, size).withColumn(total, count.scalar())
+    """A page with the number of all hits beside it, in one pass over the hits.
+
+    Each task sorts its own hits and hands on their number and the first start + size of them, as one row; these
+    rows, one per task, are put together, sorted and cut.
+    """
+    ranged = hits.sortWithinPartitions(*sort).withColumns({
+        "_task": F.spark_partition_id(), "_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    first = F.when(F.col("_place") < start + size, F.struct(*hits.columns))
+    tasks = ranged.groupBy("_task").agg(F.count(F.lit(1)).alias("_hits"), F.collect_list(first).alias("_first"))
+    whole = tasks.agg(F.sum("_hits").alias(total), F.flatten(F.collect_list("_first")).alias("_first"))
+    rows = whole.select(total, F.explode("_first").alias("_row")).select("_row.*", total)
+    return page_of(rows, sort, start, size)
 
 
 def terms_avg_topk(docs: DataFrame, term_array: Column, metric: str, size: int = 10) -> DataFrame:

@@ -210,16 +210,16 @@ def join_orders(order_messages: DataFrame, detail_messages: DataFrame, max_disor
 
 
 class OrderSides:
-    """Orders and line items on record, both looked up by the order's id, and what is due to expire by day."""
+    """Orders and line items on record, both looked up by the order's id, and what is due to expire by time."""
 
     PENDING = T.StructType([T.StructField("side", T.StringType()), T.StructField("id", T.LongType()),
-                            T.StructField("order_id", T.LongType()), T.StructField("created", T.LongType()),
-                            T.StructField("dt", T.StringType())])
+                            T.StructField("order_id", T.LongType()), T.StructField("created", T.LongType())])
 
     def __init__(self, spark: SparkSession, path: str, retention: datetime.timedelta):
         self.spark, self.path, self.retention = spark, path.rstrip("/"), retention
         self.orders = KeyedStore(spark, f"{path}/orders", ORDER_INFO_SOURCE, "id", ["id"])
         self.details = KeyedStore(spark, f"{path}/details", ORDER_DETAIL, "order_id", ["order_id", "id"])
+        self.pending = KeyedStore(spark, f"{path}/pending", self.PENDING, "created", ["created", "side", "id", "order_id"])
 
     def pairs(self, new_orders: DataFrame, new_details: DataFrame) -> DataFrame:
         """The pairs that a batch completes: its orders with all line items on record, its line items with all orders."""
@@ -237,27 +237,25 @@ class OrderSides:
 
         A hold ends when a time of creation has been seen that lies the retention and `max_disorder` later. How far
         that went is a mark in the manifest, moved after the sink has the rows, so every row is judged once, also
-        over restarts; one that comes after its end is judged in its own batch. Only the days that end now are read.
+        over restarts; one that comes after its end is judged in its own batch. What is pending is sorted by time, so
+        only files that hold what ends now are read, and what has ended is dropped as runs are merged.
         """
-        created = F.unix_seconds(text_timestamp(F.col("create_time")))
-        day = F.date_format(F.timestamp_seconds("created"), "yyyy-MM-dd").alias("dt")
-        new = new_orders.select(F.lit("orders").alias("side"), "id", F.col("id").alias("order_id"), created.alias("created")).unionByName(
-            new_details.select(F.lit("details").alias("side"), "id", "order_id", created.alias("created"))).select("*", day).persist()
+        created = F.unix_seconds(text_timestamp(F.col("create_time"))).alias("created")
+        new = new_orders.select(F.lit("orders").alias("side"), "id", F.col("id").alias("order_id"), created).unionByName(
+            new_details.select(F.lit("details").alias("side"), "id", "order_id", created)).persist()
         try:
             manifest = Manifest(self.spark, self.path)
             marks = manifest.current()["marks"]
             seen = [t for t in (marks.get("seen"), new.agg(F.max("created")).first()[0]) if t is not None]
             if not seen:
                 return
-            pending = f"{self.path}/pending"
-            write_batch(new, pending, batch_id)
             ended, until = marks.get("ended"), max(seen) - int((self.retention + max_disorder).total_seconds())
             until = max(until, ended) if ended is not None else until
-            due = read_versions(self.spark, pending, self.PENDING).select(*self.PENDING.fieldNames()).where(
-                (F.col("dt") <= _day_of(until)) & (F.col("created") <= until))
+            self.pending.retain = None if ended is None else F.col("created") > ended
+            self.pending.write(new, batch_id)
+            due = self.pending.between(ended, until)
             if ended is not None:
-                due = due.where((F.col("dt") >= _day_of(ended)) & (F.col("created") > ended)).unionByName(
-                    new.where(F.col("created") <= ended))
+                due = due.unionByName(new.where(F.col("created") <= ended))
             due = due.select("side", "id", "order_id").distinct().persist()
             try:
                 self._send_unmatched(due, sink, batch_id)
@@ -270,10 +268,6 @@ class OrderSides:
 
             manifest.change(move)
             manifest.clear()
-            if ended is not None:
-                for name in manifest.files.names("pending"):
-                    if name.startswith("dt=") and name[3:] < _day_of(ended):
-                        manifest.files.delete(f"pending/{name}")
         finally:
             new.unpersist()
 
@@ -289,10 +283,6 @@ class OrderSides:
             write_records(lost_details).select(F.lit(UNMATCHED_DETAILS).alias("topic"), "value")), batch_id)
 
 
-def _day_of(seconds: int) -> str:
-    return datetime.datetime.fromtimestamp(seconds, datetime.timezone.utc).strftime("%Y-%m-%d")
-
-
 def read_unmatched(spark: SparkSession, path: str) -> DataFrame:
     """(topic, value) of the folder sink of expired rows; a repeated batch counts once."""
     return read_versions(spark, path, FACT).select("topic", "value").distinct()
@@ -372,8 +362,9 @@ def order_job(pairs: DataFrame, path: str, dimensions: Dimensions, as_of: dateti
 
 
 def read_orders(spark: SparkSession, path: str, monthly: bool = False) -> DataFrame:
-    """One row per line item and day; a replayed order's newer pairs replace the older ones."""
+    """One row per line item, order and day; a replayed order's newer pairs replace the older ones. The order is part
+    of the key, as line items' ids may be hashes."""
     extra = [T.StructField("create_month", T.StringType())] if monthly else []
-    wide = read_latest(spark, path, T.StructType([*ORDER_WIDE.fields, *extra]), ["create_date", "detail_id"])
+    wide = read_latest(spark, path, T.StructType([*ORDER_WIDE.fields, *extra]), ["create_date", "order_id", "detail_id"])
     return wide.drop("create_month")
 

@@ -267,7 +267,6 @@ class OrderSides:
                 return state
 
             manifest.change(move)
-            manifest.clear()
         finally:
             new.unpersist()
 

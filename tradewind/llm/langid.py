@@ -32,8 +32,9 @@ ORDERS = (2, 3)
 SAMPLE = 4000
 SMOOTHING = 0.5
 MOST_LANGUAGES = 1000
-# A text is rejected this many deviations of the language's labelled documents below their median.
-DEVIATIONS = 8.0
+# A text is rejected if it lies below its language's rarest labelled documents (this share) by so much of their distance
+# to the median, and by LEAST_GAP nats below the median at least. Texts in two of the languages lie above, at some 2 nats.
+RAREST, MARGIN, LEAST_GAP = 0.001, 0.75, 2.5
 # Characters that are turned into n-grams at once.
 PIECE = 1 << 20
 UNKNOWN = "und"
@@ -176,8 +177,8 @@ def identify(found: list[str | None], model: Model) -> tuple[list[str], np.ndarr
 
 
 def typical(docs: DataFrame, model: Model | None, sample: int = SAMPLE) -> Model | None:
-    """The model with a floor for each language: DEVIATIONS robust deviations, taken from the lower quartile, below
-    the median of its labelled documents. A language without documents of its own rejects nothing."""
+    """The model with a floor for each language, below all but outlandish texts: see RAREST. A language without
+    documents of its own rejects nothing."""
     if model is None:
         return None
     small_batches(docs.sparkSession)
@@ -190,8 +191,8 @@ def typical(docs: DataFrame, model: Model | None, sample: int = SAMPLE) -> Model
 
     rows = _labelled_sample(docs, sample).select("text", "lang").mapInArrow(run, "lang string, found string, mean double")
     found = {r["lang"]: r for r in rows.where("lang = found").groupBy("lang").agg(
-        F.percentile_approx("mean", 0.25, 10_000).alias("quarter"), F.percentile_approx("mean", 0.5, 10_000).alias("half")).collect()}
-    floor = [found[name]["half"] - DEVIATIONS * max((found[name]["half"] - found[name]["quarter"]) / 0.6745, 0.02)
+        F.percentile_approx("mean", RAREST, 10_000).alias("rarest"), F.percentile_approx("mean", 0.5, 10_000).alias("half")).collect()}
+    floor = [min((1 + MARGIN) * found[name]["rarest"] - MARGIN * found[name]["half"], found[name]["half"] - LEAST_GAP)
              if name in found else -np.inf for name in model.languages]
     return replace(model, floor=np.array(floor))
 

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -111,6 +112,22 @@ def test_components_of_a_path_and_a_star(spark):
     assert components(spark.createDataFrame([], "a long, b long"), "test").count() == 0
 
 
+def test_near_duplicates_are_found_by_fingerprint_chains(spark, monkeypatch):
+    """With bands that nothing shares, the chains' links alone give the copies whose fingerprints lie within 4 bits."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    docs = []
+    for i in range(0, 40, 2):
+        text = rng.choices(words, k=400)
+        docs += [(i, " ".join(text)), (i + 1, " ".join([*text, "x"]))]
+    prints = [simhash.sketch(text.encode())[0] & (1 << 64) - 1 for _, text in docs]
+    linked = sum((prints[i] ^ prints[i + 1]).bit_count() <= 4 for i in range(0, 40, 2))
+    assert linked >= 15
+    monkeypatch.setattr(simhash, "_band_pairs", lambda batches: (simhash._long_columns([]) for _ in batches))
+    kept = simhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert kept.count() == 40 - linked
+
+
 def test_near_duplicates_keep_one_of_each_group(spark, empty):
     words = [f"word{i}" for i in range(300)]
     near = words.copy()

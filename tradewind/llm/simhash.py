@@ -301,17 +301,22 @@ OPEN_ROWS, OPEN_BYTES = 1024, 8 << 20
 _ODD = np.random.default_rng(SEED).integers(0, 1 << 63, (3, BANDS * BAND_ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def band_keys(text: bytes) -> list[int]:
-    """A key of each band: of the least values that the band's hash functions take over the text's shingles."""
+def sketch(text: bytes) -> tuple[int, list[int]]:
+    """The text's fingerprint over its shingles, and a key of each band: of the least values that the band's hash functions
+    take over them."""
+    total, bits = 0, np.zeros(64)
     least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for hashes in shingle_hashes(text, SHINGLE_WORDS):
+        bits += bit_weights(hashes)
+        total += len(hashes)
         for at in range(0, len(hashes), MINIMA_AT_ONCE):
             values = np.multiply.outer(hashes[at:at + MINIMA_AT_ONCE], _ODD[0])
             values += _ODD[1]
             np.minimum(least, values.min(axis=0), out=least)
     mixed = (least ^ (least >> np.uint64(31))) * _ODD[2]
     mixed ^= mixed >> np.uint64(29)
-    return mixed.reshape(BANDS, BAND_ROWS).sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
+    keys = mixed.reshape(BANDS, BAND_ROWS).sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
+    return majority(bits, total) if total else 0, keys
 
 
 def _band_pairs(batches):
@@ -437,12 +442,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row of each group of exact or near copies: the one with the smallest id, with the columns of docs.
 
     Near copies have at least 0.8 of their five-word shingles in common (size of intersection by size of union).
-    The chains' fingerprints do not find them: over such shingles they differ in about 10 of 64 bits at that
-    similarity, and over single words a passage more or less moves them too far. So the candidates here come from
-    bands of minima over the shingles: a hash function's least value over two texts is the same with the chance of
-    their similarity, wherever they differ, so a pair at 0.8 has no equal band of 32 with the chance
-    (1 - 0.8 ** 5) ** 32, 3 in a million. Candidates are checked against the shingles of both whole texts. The groups
-    are those of all candidate pairs, also where so many texts have a band in common that not every pair is emitted.
+    Candidates are the links of SimHash fingerprints over the shingles, found by pigeonring chains (``links``). These reach
+    4 bits, and at similarity 0.8 fingerprints differ in about 10. So bands of minima over the same shingles stand beside
+    them: a hash function's least value over two texts is the same with the chance of their similarity, wherever they
+    differ, so a pair at 0.8 has no equal band of 32 with the chance (1 - 0.8 ** 5) ** 32, 3 in a million. Candidates of
+    either kind are checked against the shingles of both whole texts. The groups are those of all candidate pairs, also
+    where so many texts have a band in common that not every pair is emitted.
 
     Wordless texts are one group; a null text is as an empty one.
     """
@@ -450,18 +455,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches):
         for batch in batches:
-            keys = pa.array([band_keys(text) for text in texts(batch.column(2))], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys], ["id", "text_key", "keys"])
+            prints, keys = zip(*map(sketch, texts(batch.column(2))), strict=True) if batch.num_rows else ((), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints, pa.int64()), pa.array(
+                keys, pa.list_(pa.int64()))], ["id", "text_key", "print", "keys"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = settle(docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("text_key"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {id_type}, text_key binary, keys array<long>"), "dedup-keys")
-    nodes = settle(rows.groupBy("text_key").agg(F.min("id").alias("least"), F.any_value("keys").alias("keys")).withColumn(
+        run, f"id {id_type}, text_key binary, print long, keys array<long>"), "dedup-keys")
+    nodes = settle(rows.groupBy("text_key").agg(F.min("id").alias("least"), F.any_value("print").alias("print"), F.any_value("keys").alias("keys")).withColumn(
         "node", F.monotonically_increasing_id()), "dedup-nodes")
     keyed = nodes.select(F.explode("keys").alias("key"), "node")
     runs = settle(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(
         _band_pairs, "kind long, a long, b long"), "dedup-runs")
-    near = settle(runs.where("kind = 0 and a <> b").select("a", "b").distinct(), "dedup-candidates")
+    chained = links(nodes.select("node", "print", F.lit(0).alias("family")), "dedup")
+    near = settle(runs.where("kind = 0 and a <> b").select("a", "b").unionByName(chained).distinct(), "dedup-candidates")
 
     concerned = near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "text_key"), "node")
     found = settle(docs.select(text_key(text_col).alias("text_key"), F.col(text_col).alias("text")).join(

@@ -463,7 +463,7 @@ class Arrivals:
         self.spark, self.root, self.names = spark, new_folder(spark, "arrivals"), list(messages)
         self.files = Files(spark, self.root)
         for name, rows in messages.items():
-            rows.select("part", "value").write.partitionBy("part").parquet(f"{self.root}/staged/{name}")
+            rows.select("part", "value").write.partitionBy("part").options(**topics.GROUPS).parquet(f"{self.root}/staged/{name}")
 
     def stream(self, name: str, **options) -> DataFrame:
         return topics.read_folder(self.spark, f"{self.root}/{name}/*", **options)

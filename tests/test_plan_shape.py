@@ -2,13 +2,14 @@
 
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from registry.queries import QUERIES
 from tradewind.plans import orders
-from tradewind.session import scratch_root
-from tradewind.sources import derived, tables
+from tradewind.session import scratch_root, tune
+from tradewind.sources import derived, tables, topics
 from tradewind.sources.relational import jdbc_options
 
 SF = "/root/testdata/sf0.001"
@@ -113,3 +114,18 @@ def test_scratch_is_shared_or_local(spark):
 def test_jdbc_reads_are_cut_into_ranges():
     options = jdbc_options("jdbc:mysql://h/db", "order_info", "id", 0, 1000, 64)
     assert (options["partitionColumn"], options["numPartitions"], options["upperBound"]) == ("id", "64", "1000")
+
+
+def test_splits_and_row_groups_of_messages_are_small(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128MB")
+        assert int(tune(spark).conf.get("spark.sql.files.maxPartitionBytes")) == 16 << 20
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+        assert tune(spark).conf.get("spark.sql.files.maxPartitionBytes") == "4m"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    topic = tmp_path / "topic"
+    topics.land(spark.range(0, 1_000_000, 1, 1).select(F.sha2(F.col("id").cast("string"), 256).alias("value")), str(topic))
+    (file,) = topic.glob("*.parquet")
+    assert pq.ParquetFile(file).num_row_groups > 2

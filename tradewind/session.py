@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -29,9 +30,23 @@ RUNTIME_CONF = {
 STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
+# Most bytes of a file split and of a gathered shuffle partition. Parquet of JSON texts is a tenth of the rows in a task's
+# memory, so Spark's defaults (128 and 64 MB) would be a gigabyte and more; a session's smaller setting is kept.
+MOST_BYTES = {"spark.sql.files.maxPartitionBytes": 16 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 32 << 20}
+_UNITS = {unit: 1024 ** power for power, unit in enumerate("bkmgtp")}
+
+
+def _bytes(text: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)\s*([bkmgtp]?)b?", text.strip().lower()).groups()
+    return int(number) * _UNITS[unit or "b"]
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for name, value in RUNTIME_CONF.items():
         spark.conf.set(name, value)
+    for name, most in MOST_BYTES.items():
+        if _bytes(spark.conf.get(name)) > most:
+            spark.conf.set(name, str(most))
     return spark
 
 

@@ -116,6 +116,11 @@ def test_jdbc_reads_are_cut_into_ranges():
     assert (options["partitionColumn"], options["numPartitions"], options["upperBound"]) == ("id", "64", "1000")
 
 
+def test_fact_fields_are_taken_in_one_pass_over_the_text(spark):
+    plan = physical(QUERIES["cdc_fact_route"](spark, SF))
+    assert "json_tuple" in plan and "get_json_object(value" not in plan
+
+
 def test_splits_and_row_groups_of_messages_are_small(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:

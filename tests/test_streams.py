@@ -144,6 +144,22 @@ def test_table_lists_are_read_anew_for_every_batch(spark, tmp_path):
     assert json.loads(start_json) == {"db": {"0": newest}}
 
 
+def test_routing_holds_no_batch(spark, tmp_path):
+    """Nothing is cached while a batch goes to its sink: it may be larger than the executors' memory."""
+    held, sent = [], []
+    spark.catalog.clearCache()
+
+    def sink(messages, batch_id):
+        sent.extend(messages.collect())
+        held.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+
+    event = json.dumps({"type": "insert", "table": "order_info", "ts": 1, "data": {"id": 1}})
+    topics.land(spark.createDataFrame([(event, 1), ("{broken", 2)], "value string, offset long"), f"{tmp_path}/db")
+    messages = topics.read_folder(spark, f"{tmp_path}/db", spark.read.parquet(f"{tmp_path}/db").schema)
+    run(jobs.change_routing_job(messages, sink, f"{tmp_path}/dims"), tmp_path)
+    assert held == [0] and len(sent) == 2
+
+
 def test_reading_goes_on_from_the_committed_position(spark, tmp_path):
     messages = derived.log_offsets(spark, SF)
     first = messages.where((F.col("offset") < 100) & (F.col("partition") < 3))

@@ -49,9 +49,12 @@ def dead_letters(events: DataFrame) -> DataFrame:
     return events.where(~_readable()).select("value")
 
 
+def _fact_topic(suffix: str) -> Column:
+    return F.concat(F.lit("DWD_"), F.upper("table"), F.lit("_"), F.col("op"), F.lit(suffix))
+
+
 def _fact_messages(events: DataFrame, suffix: str) -> DataFrame:
-    topic = F.concat(F.lit("DWD_"), F.upper("table"), F.lit("_"), F.col("op"), F.lit(suffix))
-    return events.select(topic.alias("topic"), F.col("data").alias("value"))
+    return events.select(_fact_topic(suffix).alias("topic"), F.col("data").alias("value"))
 
 
 def _dim_rows(events: DataFrame) -> DataFrame:
@@ -73,8 +76,23 @@ def dim_route(events: DataFrame, tables: Sequence[str] = names.DIM_TABLES) -> Da
     return _dim_rows(known(events).where(F.col("table").isin(*tables)))
 
 
-def listed(events: DataFrame, control: DataFrame, role: str) -> DataFrame:
-    """Events of the tables that the control table names for a role.
+def fact_messages(events: DataFrame, dead_topic: str, tables: Sequence[str] = names.FACT_TABLES,
+                  suffix: str = names.TOPIC_SUFFIX) -> DataFrame:
+    """``fact_route`` and the dead letters, under `dead_topic`, in one pass over the events."""
+    dead = ~_readable()
+    fact = ~dead & F.col("op").isNotNull() & F.col("table").isin(*tables)
+    return events.where(dead | fact).select(
+        F.when(dead, F.lit(dead_topic)).otherwise(_fact_topic(suffix)).alias("topic"),
+        F.when(dead, F.col("value")).otherwise(F.col("data")).alias("value"))
+
+
+def listed_names(control: DataFrame) -> tuple[list[str], list[str]]:
+    """The tables that the control table names as facts and as dimensions."""
+    return _names(control, "fact"), _names(control, "dim")
+
+
+def _names(control: DataFrame, role: str) -> list[str]:
+    """The tables that the control table names for a role.
 
     The names are read first, so that routing stays a filter: a join would send all events of one table
     to one task. A list longer than any database's number of tables is refused.
@@ -83,7 +101,12 @@ def listed(events: DataFrame, control: DataFrame, role: str) -> DataFrame:
     found = [r["table"] for r in tables.take(MAX_LISTED + 1)]
     if len(found) > MAX_LISTED:
         raise ValueError(f"the control table lists more than {MAX_LISTED} tables for {role}")
-    return events.where(F.col("table").isin(found))
+    return found
+
+
+def listed(events: DataFrame, control: DataFrame, role: str) -> DataFrame:
+    """Events of the tables that the control table names for a role."""
+    return events.where(F.col("table").isin(_names(control, role)))
 
 
 def dynamic_routes(events: DataFrame, control: DataFrame,

@@ -79,22 +79,21 @@ def change_routing_job(messages: DataFrame, facts_to: Sink, dim_path: str,
     """Route change events: facts and dead letters as messages, dimensions into their table.
 
     `control` gives the table lists of each batch. A failure repeats a batch: facts are then sent again, dimension
-    rows count once.
+    rows count once. A batch is read once for its messages and once for its dimension rows: nothing holds it in between,
+    as it may be larger than the executors' memory.
     """
+    dead_topic = names.topic(names.DEAD_LETTER_TOPIC, suffix)
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        events = change_routing.parse(batch).persist()
-        try:
-            if control is None:
-                facts, dims = change_routing.fact_route(events, suffix=suffix), change_routing.dim_route(events)
-            else:
-                facts, dims = change_routing.dynamic_routes(events, control(batch.sparkSession), suffix)
-            dead = change_routing.dead_letters(events).select(
-                F.lit(names.topic(names.DEAD_LETTER_TOPIC, suffix)).alias("topic"), "value")
-            facts_to(facts.unionByName(dead), batch_id)
-            dim_store(batch.sparkSession, dim_path).write(dims, batch_id)
-        finally:
-            events.unpersist()
+        events = change_routing.parse(batch)
+        if control is None:
+            sent, dims = change_routing.fact_messages(events, dead_topic, suffix=suffix), change_routing.dim_route(events)
+        else:
+            facts, dims = change_routing.listed_names(control(batch.sparkSession))
+            sent = change_routing.fact_messages(events, dead_topic, facts, suffix)
+            dims = change_routing.dim_route(events, dims)
+        facts_to(sent, batch_id)
+        dim_store(batch.sparkSession, dim_path).write(dims, batch_id)
 
     return messages.writeStream.foreachBatch(route)
 

@@ -361,6 +361,22 @@ def test_a_batch_reads_files_of_its_own_ids(spark, tmp_path):
     assert sorted(r["id"] for r in found.collect()) == [1001, 2001]
 
 
+def test_a_pair_is_written_once_and_like_runs_gather(spark, tmp_path):
+    """An order and its line item of one batch are on record under each other's id, and still one pair; runs of like size
+    are not rewritten with every batch."""
+    out, topic = f"{tmp_path}/wide", {n: f"{tmp_path}/{n}" for n in ("orders", "details")}
+    topics.land(write_records(make_orders(spark, (1, text()), (2, text()))).coalesce(1), topic["orders"])
+    topics.land(write_records(make_details(spark, (10, 1, text()), (10, 2, text()), (11, 1, text()))).coalesce(1), topic["details"])
+    streams = [topics.read_folder(spark, topic[n]) for n in ("orders", "details")]
+    run(jobs.stored_order_job(*streams, f"{tmp_path}/sides", out, dims, datetime.date(2024, 6, 30)), tmp_path)
+    pairs = [(r["order_id"], r["detail_id"]) for r in spark.read.parquet(out).collect()]
+    assert sorted(pairs) == [(1, 10), (1, 11), (2, 10)]
+    store = jobs.OrderSides(spark, f"{tmp_path}/sides", datetime.timedelta(1)).orders
+    store.small_rows = 10
+    alike = [{"rows": 100}] * 4
+    assert store._alike(alike) == [] and len(store._alike([*alike, {"rows": 120}, {"rows": 1}, {"rows": 10 ** 6}])) == 6
+
+
 def test_epochs_order_the_batches_of_two_checkpoints(spark, tmp_path):
     out = f"{tmp_path}/wide"
     schema = jobs.FACT

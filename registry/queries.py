@@ -551,8 +551,7 @@ def stream_dau_changing_dims(spark, sf_dir):
     part of the month and with the second ones before the third, and each part sees what is there when it comes."""
     out, dims, db, facts = (new_folder(spark, n) for n in ("dau-dims", "dims", "db-topic", "facts"))
     checkpoint, pages = new_folder(spark, "db-checkpoint"), _page_arrivals(spark, sf_dir)
-    events = derived.change_events(spark, sf_dir).where(
-        F.get_json_object("value", "$.table").isin("user_info", "base_province"))
+    events = derived.change_events(spark, sf_dir, ("user_info", "base_province"))
 
     def change(part: int) -> None:
         if part in (0, 2):

@@ -134,3 +134,16 @@ def test_splits_and_row_groups_of_messages_are_small(spark, tmp_path):
     topics.land(spark.range(0, 1_000_000, 1, 1).select(F.sha2(F.col("id").cast("string"), 256).alias("value")), str(topic))
     (file,) = topic.glob("*.parquet")
     assert pq.ParquetFile(file).num_row_groups > 2
+
+
+def test_change_events_of_some_tables_read_no_others(spark, monkeypatch):
+    some = derived.change_events(spark, SF, ("user_info", "base_province"))
+    every = derived.change_events(spark, SF).where(F.get_json_object("value", "$.table").isin("user_info", "base_province"))
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, every.collect()))
+    assert {name.rsplit("/", 1)[-1] for name in some.inputFiles()} == {"customer.parquet", "nation.parquet"}
+
+    def unread(*_):
+        raise AssertionError("line items are no dimension")
+
+    monkeypatch.setattr(derived, "order_detail", unread)
+    assert QUERIES["stream_dau_changing_dims"](spark, SF).count() > 0

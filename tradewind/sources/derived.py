@@ -5,7 +5,9 @@ Each input is a projection or an equi-join of whole tables; none of them gathers
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 import datetime
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -127,9 +129,13 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         "0D AS split_coupon_amount")
 
 
-def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change stream messages of (value, offset) over the four tables, users with an earlier version."""
-    users = user_info(spark, sf_dir)
+CHANGING = ("user_info", "base_province", "order_info", "order_detail")
+
+
+def change_events(spark: SparkSession, sf_dir: str, tables: Sequence[str] = CHANGING) -> DataFrame:
+    """Change stream messages of (value, offset) over the four tables, or those of them in `tables`; users with an
+    earlier version."""
+    users = spread_small(user_info(spark, sf_dir))
     other = F.when(F.col("gender") == "M", "F").otherwise("M")
 
     def events(name: str, rows: DataFrame, version: int = 1) -> DataFrame:
@@ -140,14 +146,13 @@ def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.struct(*rows.columns).alias("data"))
         return once(rows, "value", F.to_json(event)).withColumn("offset", F.lit(version).cast("bigint"))
 
-    streams = [events("user_info", users.withColumn("gender", other), 1), events("user_info", users, 2),
-               events("base_province", base_province(spark, sf_dir)),
-               events("order_info", order_info(spark, sf_dir)),
-               events("order_detail", order_detail(spark, sf_dir))]
-    merged = streams[0]
-    for stream in streams[1:]:
-        merged = merged.unionByName(stream)
-    return merged
+    streams = {
+        "user_info": lambda: events("user_info", users.withColumn("gender", other), 1).unionByName(
+            events("user_info", users, 2)),
+        "base_province": lambda: events("base_province", base_province(spark, sf_dir)),
+        "order_info": lambda: events("order_info", order_info(spark, sf_dir)),
+        "order_detail": lambda: events("order_detail", order_detail(spark, sf_dir))}
+    return functools.reduce(DataFrame.unionByName, [streams[name]() for name in tables])
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:

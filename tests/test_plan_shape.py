@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from registry.queries import QUERIES
 from tradewind.plans import orders
+from tradewind.schemas import PAGE_LOG
 from tradewind.session import scratch_root, tune
 from tradewind.sources import derived, tables, topics
 from tradewind.sources.relational import jdbc_options
@@ -147,3 +148,13 @@ def test_change_events_of_some_tables_read_no_others(spark, monkeypatch):
 
     monkeypatch.setattr(derived, "order_detail", unread)
     assert QUERIES["stream_dau_changing_dims"](spark, SF).count() > 0
+
+
+def test_raw_lines_are_made_by_generated_code_only(spark):
+    assert "lambda" not in physical(derived.raw_log(spark, SF))
+
+
+def test_an_absent_table_costs_no_python_workers(spark, tmp_path):
+    found = tables.read_versions(spark, f"{tmp_path}/nowhere", PAGE_LOG)
+    assert found.columns == [*PAGE_LOG.fieldNames(), *tables.VERSION] and found.count() == 0
+    assert "ExistingRDD" not in physical(found)

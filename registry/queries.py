@@ -473,13 +473,14 @@ class Arrivals:
             if f"part={part}" in self.files.names(f"staged/{name}"):
                 self.files.move(f"staged/{name}/part={part}", f"{name}/{part}")
 
-    def run(self, make: Callable[[], object], before: Callable[[int], None] = lambda part: None) -> None:
+    def run(self, make: Callable[[], object], before: Callable[[int], None] = lambda part: None,
+            by_cores: bool = False) -> None:
         """Start the job anew for every part, on one checkpoint."""
         checkpoint = new_folder(self.spark, "arrivals-checkpoint")
         for part in range(PARTS):
             before(part)
             self.arrive(part)
-            finish(start(make(), checkpoint, available_now=True))
+            finish(start(make(), checkpoint, available_now=True, by_cores=self.spark if by_cores else None))
 
 
 def _page_arrivals(spark: SparkSession, sf_dir: str) -> Arrivals:
@@ -521,7 +522,7 @@ def stream_change_routing(spark, sf_dir):
 @query
 def stream_dau_dedup(spark, sf_dir):
     out, pages = new_folder(spark, "dau"), _page_arrivals(spark, sf_dir)
-    pages.run(lambda: jobs.dau_job(pages.stream("pages"), out))
+    pages.run(lambda: jobs.dau_job(pages.stream("pages"), out), by_cores=True)
     return jobs.read_dau(spark, out, enriched=False)
 
 
@@ -534,14 +535,14 @@ def stream_dau_dedup_bounded(spark, sf_dir):
         seen = jobs.bounded_dedup(pages.stream("pages"), "1 hour").select("dt", "mid")
         return seen.writeStream.format("parquet").option("path", out)
 
-    pages.run(job)
+    pages.run(job, by_cores=True)
     return spark.read.schema("dt string, mid string").parquet(out)
 
 
 @query
 def stream_dau_wide(spark, sf_dir):
     out, pages = new_folder(spark, "dau-wide"), _page_arrivals(spark, sf_dir)
-    pages.run(lambda: jobs.dau_job(pages.stream("pages"), out, lambda s, rows: _dims(s, sf_dir), AS_OF))
+    pages.run(lambda: jobs.dau_job(pages.stream("pages"), out, lambda s, rows: _dims(s, sf_dir), AS_OF), by_cores=True)
     return jobs.read_dau(spark, out)
 
 
@@ -559,7 +560,7 @@ def stream_dau_changing_dims(spark, sf_dir):
             messages = topics.read_folder(spark, db, events.schema)
             finish(start(jobs.change_routing_job(messages, jobs.folder_sink(facts), dims), checkpoint, available_now=True))
 
-    pages.run(lambda: jobs.dau_job(pages.stream("pages"), out, jobs.dimension_reader(dims), AS_OF), change)
+    pages.run(lambda: jobs.dau_job(pages.stream("pages"), out, jobs.dimension_reader(dims), AS_OF), change, by_cores=True)
     return jobs.read_dau(spark, out)
 
 

@@ -391,3 +391,21 @@ def test_epochs_order_the_batches_of_two_checkpoints(spark, tmp_path):
             topics.land(spark.createDataFrame([("v",)], "value string"), f"{tmp_path}/{value}")
             run(job(value), tmp_path, f"checkpoint-{value}")
     assert [tuple(r) for r in tables.read_latest(spark, out, schema, ["topic"]).collect()] == [("k", "newv")]
+
+
+def test_partitions_by_cores(spark, tmp_path):
+    """A stream with little state has a few partitions for each core, whatever the session's number, and no more than that."""
+    name, topic = "spark.sql.shuffle.partitions", f"{tmp_path}/topic"
+    topics.land(write_records(pages(spark, page("a", MIDNIGHT), page("a", MIDNIGHT + 1))), topic)
+    before = spark.conf.get(name)
+    for number, (of_session, expected) in enumerate((("40", 32), ("3", 3))):
+        spark.conf.set(name, of_session)
+        try:
+            seen = jobs.bounded_dedup(topics.read_folder(spark, topic), "1 day").select("dt", "mid")
+            writer = seen.writeStream.format("parquet").option("path", f"{tmp_path}/seen-{number}")
+            query = finish(start(writer, f"{tmp_path}/checkpoint-{number}", available_now=True, by_cores=spark))
+            assert spark.conf.get(name) == of_session
+        finally:
+            spark.conf.set(name, before)
+        assert {s["numShufflePartitions"] for s in query.recentProgress[0]["stateOperators"]} == {expected}
+        assert spark.read.schema("dt string, mid string").parquet(f"{tmp_path}/seen-{number}").count() == 1

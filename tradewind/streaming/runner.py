@@ -12,13 +12,28 @@ from tradewind.sources import offsets
 INTERVAL = "5 seconds"
 
 
-def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = False,
-          interval: str = INTERVAL, name: str | None = None) -> StreamingQuery:
+# Shuffle partitions of a micro-batch for each core, where a query asks for them.
+PARTITIONS_PER_CORE = 4
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = False, interval: str = INTERVAL,
+          name: str | None = None, by_cores: SparkSession | None = None) -> StreamingQuery:
+    """`by_cores` is the query's session, for one whose batches and state are small beside the session's partitions:
+    it gets a few for each core where the session has more, as every partition costs every batch a task, a state store
+    and a file. A query keeps the number that its checkpoint began with."""
     writer = writer.option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return writer.trigger(**trigger).start()
+    writer = writer.trigger(**({"availableNow": True} if available_now else {"processingTime": interval}))
+    if by_cores is None:
+        return writer.start()
+    before = by_cores.conf.get(_PARTITIONS)
+    by_cores.conf.set(_PARTITIONS, str(min(int(before), PARTITIONS_PER_CORE * by_cores.sparkContext.defaultParallelism)))
+    try:
+        return writer.start()  # which takes a copy of the session's settings
+    finally:
+        by_cores.conf.set(_PARTITIONS, before)
 
 
 class LedgerListener(StreamingQueryListener):

@@ -2,7 +2,7 @@ import datetime
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tests.test_dau import MIDNIGHT, page, pages
 from tests.test_orders import ids, make_details, make_orders, text
@@ -409,3 +409,60 @@ def test_partitions_by_cores(spark, tmp_path):
             spark.conf.set(name, before)
         assert {s["numShufflePartitions"] for s in query.recentProgress[0]["stateOperators"]} == {expected}
         assert spark.read.schema("dt string, mid string").parquet(f"{tmp_path}/seen-{number}").count() == 1
+
+
+def test_slices_of_a_large_batch_give_the_same_rows(spark, tmp_path, monkeypatch):
+    """A batch joined and judged in many slices of the order ids gives what it gives in one, and leaves nothing behind."""
+    import os
+
+    order_rows = [[(n, text(h)) for n in range(h, 40, 2)] for h in (0, 1)]
+    detail_rows = [[(100 + n, n + 3, text(n % 30)) for n in range(h, 40, 2)] for h in (1, 0)]
+    found = []
+    for most in (10 ** 9, 5):
+        monkeypatch.setattr(jobs, "SLICE_ROWS", most)
+        root = f"{tmp_path}/{most}"
+        topic = {n: f"{root}/{n}" for n in ("orders", "details")}
+        for last, (new_orders, new_details) in enumerate(zip(order_rows, detail_rows)):
+            late = [(1000, text(90))] if last else []
+            topics.land(write_records(make_orders(spark, *new_orders, *late)).coalesce(1), topic["orders"])
+            topics.land(write_records(make_details(spark, *new_details)).coalesce(1), topic["details"])
+            streams = [topics.read_folder(spark, topic[n]) for n in ("orders", "details")]
+            run(jobs.stored_order_job(*streams, f"{root}/sides", f"{root}/wide", dims, datetime.date(2024, 6, 30),
+                                      unmatched_to=jobs.folder_sink(f"{root}/lost")), root)
+        pairs = spark.read.parquet(f"{root}/wide").drop("batch_id", "epoch")
+        found.append([sorted(map(str, pairs.collect())), sorted(map(tuple, jobs.read_unmatched(spark, f"{root}/lost").collect()))])
+        assert len(jobs.OrderSides(spark, f"{root}/sides", datetime.timedelta(1)).slices()) == (1 if most > 5 else 8)
+        assert not [n for n in os.listdir(f"{root}/sides") if n.startswith("held-")]
+    assert found[0] == found[1] and found[0][0] and found[0][1]
+
+
+def test_shuffle_files_of_a_batch_end_with_it(spark, tmp_path, monkeypatch):
+    """What an order batch shuffles is gone from disk when it is over, and nothing of it stays cached."""
+    seen = []
+    monkeypatch.setattr(jobs.OrderSides, "pairs", lambda self, *args, whole=jobs.OrderSides.pairs: seen.append(
+        self.spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")) or whole(self, *args))
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
+    topics.land(write_records(make_orders(spark, (1, text()))), f"{tmp_path}/orders")
+    topics.land(write_records(make_details(spark, (10, 1, text()))), f"{tmp_path}/details")
+    streams = [topics.read_folder(spark, f"{tmp_path}/{n}") for n in ("orders", "details")]
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    run(jobs.stored_order_job(*streams, f"{tmp_path}/sides", f"{tmp_path}/wide", dims), tmp_path)
+    assert seen == ["true"] and spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+
+
+def test_orders_read_whole_shuffle_only_repeated_keys(spark, tmp_path):
+    """Of keys that several rows have the newest version counts; null keys are keys. Without such keys nothing is shuffled."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("dt", "id", "v")])
+    out = f"{tmp_path}/wide"
+
+    def rows(*values):
+        return spark.createDataFrame(list(values), schema)
+
+    tables.write_batch(rows(("a", "1", "old"), ("a", "2", "only"), ("b", None, "old")), out, 0)
+    once = tables.read_latest_settled(spark, out, schema, ["dt", "id"])
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString() and once.count() == 3
+    tables.write_batch(rows(("a", "1", "new"), ("b", None, "new"), ("b", "1", "other"), ("b", "1", "other")), out, 1)
+    want = [("a", "1", "new"), ("a", "2", "only"), ("b", "1", "other"), ("b", None, "new")]
+    for read in (tables.read_latest_settled, tables.read_latest):
+        assert sorted(map(tuple, read(spark, out, schema, ["dt", "id"]).collect()), key=str) == want

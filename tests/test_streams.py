@@ -466,3 +466,14 @@ def test_orders_read_whole_shuffle_only_repeated_keys(spark, tmp_path):
     want = [("a", "1", "new"), ("a", "2", "only"), ("b", "1", "other"), ("b", None, "new")]
     for read in (tables.read_latest_settled, tables.read_latest):
         assert sorted(map(tuple, read(spark, out, schema, ["dt", "id"]).collect()), key=str) == want
+
+
+def test_a_large_batch_of_messages_is_not_shuffled(spark, tmp_path):
+    """A batch in more splits than cores is written by the tasks that read it; one of few splits is gathered by topic."""
+    cores = spark.sparkContext.defaultParallelism
+    made = spark.range(0, 4000, 1, 3 * cores).select(F.concat(F.lit("T"), F.col("id") % 3).alias("topic"), F.col("id").cast("string").alias("value"))
+    for name, rows in (("large", made), ("small", made.coalesce(cores))):
+        jobs.folder_sink(f"{tmp_path}/{name}")(rows, 0)
+        found = tables.read_versions(spark, f"{tmp_path}/{name}", jobs.FACT)
+        assert sorted(map(tuple, found.select("topic", "value").collect())) == sorted(map(tuple, made.collect()))
+        assert len(found.inputFiles()) == (9 * cores if name == "large" else 3)

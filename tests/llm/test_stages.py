@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm.test_operators import SCHEMA, SF
-from tradewind.llm import chat, langid, neighbours, quality, toxicity, url_filter
+from tradewind.llm import chat, langid, neighbours, quality, simhash, toxicity, url_filter
 from tradewind.llm.queries import QUERIES
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -199,3 +199,35 @@ def test_neighbours_leave_the_session_as_it_was(spark):
     frame = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], "vec_id long, embedding array<double>")
     assert neighbours.nearest(frame, frame.where("vec_id % 20 = 0"), 3).count() == 9
     assert spark.conf.get(setting) == "777"
+
+
+def test_near_copies_in_a_long_chain_are_compared_with_each_other(spark, monkeypatch):
+    """Texts in one long run of equal fingerprints, where no band tells which of them are near copies: the links that span the
+    run join texts that are not alike, and the near copies are found all the same."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(20):
+        words = [word(rng) for _ in range(60)]
+        texts += [" ".join(words), " ".join([*words, "more"])]
+    monkeypatch.setattr(simhash, "sketch", lambda text: (0, [int.from_bytes(text[:5], "big") * 8192 + 64 * len(text) + i for i in range(32)]))
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.near_duplicates(made).collect()) == list(range(0, 40, 2))
+
+
+def test_pipeline_gives_the_packed_ids(spark):
+    """The last stage's pieces are the token ids themselves; a document's pieces, put together, are all of its ids."""
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rng = random.Random(12)
+    texts = ["\n\n".join(prose(rng, 300) for _ in range(4)), prose(rng, 40), ""]
+    made = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = {}
+    for r in sorted(corpus_pipeline.pack(spark, made, SF).collect(), key=lambda r: r["start"]):
+        assert len(r["ids"]) == 4 * r["length"] and zlib.crc32(bytes(r["ids"])) == r["ids_crc32"]
+        got.setdefault(r["doc_id"], []).extend(np.frombuffer(bytes(r["ids"]), dtype="<u4").tolist())
+    assert got == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}

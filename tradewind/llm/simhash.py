@@ -16,6 +16,7 @@ no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+import functools
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ BUDGETS = np.array([(step + 1) * MAX_BITS // SEGMENTS for step in range(SEGMENTS
 BLOCK_ROWS = 8192
 # Runs up to this length are compared pair by pair, longer ones by a search that visits each row once.
 SHORT_RUN = 24
+# What a row of the linker is: a pair of a short run, a key with too many rows, a pair of a long run's spanning set.
+LINK, OVER, SPANNING = 0, 1, 2
 HASHES_AT_ONCE = 1 << 16
 BIT_OF = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.float64)
 BYTE_AT = (np.arange(8) * 256).astype(np.int64)
@@ -160,8 +163,8 @@ def _joined(parts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
 
-def _links_of(keys: np.ndarray, prints: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links among rows sorted by key (and tile)."""
+def _links_of(keys: np.ndarray, prints: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links among rows sorted by key (and tile), and their kinds: LINK of a short run, SPANNING of a long one."""
     cuts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
     lengths = np.diff(cuts)
     long_runs = np.flatnonzero(lengths > SHORT_RUN)
@@ -169,6 +172,7 @@ def _links_of(keys: np.ndarray, prints: np.ndarray, nodes: np.ndarray) -> tuple[
     places = np.flatnonzero(short)
     a, b = _short_run_pairs(keys[places], prints[places])
     out_a, out_b = [nodes[places[a]]], [nodes[places[b]]]
+    pairs = len(a)
     for run in long_runs:
         rows = slice(cuts[run], cuts[run + 1])
         a, b = _forest(prints[rows], int(keys[cuts[run]] >> 24) // len(PATTERNS) % SEGMENTS)
@@ -177,7 +181,7 @@ def _links_of(keys: np.ndarray, prints: np.ndarray, nodes: np.ndarray) -> tuple[
     a, b = np.concatenate(out_a), np.concatenate(out_b)
     low, high = np.minimum(a, b), np.maximum(a, b)
     keep = low != high
-    return low[keep], high[keep]
+    return low[keep], high[keep], np.where(np.arange(len(a)) < pairs, LINK, SPANNING)[keep]
 
 
 def _runs(batches, at_once: int):
@@ -226,37 +230,36 @@ def _runs(batches, at_once: int):
 def _linker(at_once: int):
     """mapInArrow function over rows (key, tile, print, node) sorted by key and tile.
 
-    Gives links (kind 0: two nodes) and the keys that need tiles (kind 1: key and row count).
+    Gives links (kinds LINK and SPANNING: two nodes) and the keys that need tiles (kind OVER: key and row count).
     """
     def run(batches):
         for found in _runs(batches, at_once):
             if len(found) == 2:
                 (key, _), rows = found
-                columns = [np.array([1]), np.array([key]), np.array([rows])]
+                columns = [np.array([OVER]), np.array([key]), np.array([rows])]
             else:
                 keys, tiles, prints, nodes = found
                 # A run is a key and its tile: make one number of them, start and pattern still on top.
                 if tiles.any():
-                    low, high = [], []
+                    parts = []
                     cuts = np.flatnonzero(np.concatenate(
                         ([True], (keys[1:] != keys[:-1]) | (tiles[1:] != tiles[:-1]), [True])))
                     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                        pair = _links_of(keys[a:b], prints[a:b], nodes[a:b])
-                        low.append(pair[0])
-                        high.append(pair[1])
-                    low, high = np.concatenate(low), np.concatenate(high)
+                        parts.append(_links_of(keys[a:b], prints[a:b], nodes[a:b]))
+                    found = [np.concatenate(column) for column in zip(*parts, strict=True)]
                 else:
-                    low, high = _links_of(keys, prints, nodes)
-                pairs = np.unique(np.stack([low, high], axis=1), axis=0) if len(low) else np.empty((0, 2), np.int64)
-                columns = [np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1]]
+                    found = _links_of(keys, prints, nodes)
+                rows = np.unique(np.stack(found, axis=1), axis=0) if len(found[0]) else np.empty((0, 3), np.int64)
+                columns = [rows[:, 2], rows[:, 0], rows[:, 1]]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["kind", "a", "b"])
 
     return run
 
 
 def links(items: DataFrame, label: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(a, b), a < b: links between items (node long, print long, family int) that connect all whose prints of one
-    family differ in at most 4 bits. Short runs give every pair; longer ones a spanning set.
+    """(a, b, spanning), a < b: links between items (node long, print long, family int) that connect all whose prints of one
+    family differ in at most 4 bits. Short runs give every pair; longer ones a spanning set, which stands for pairs that are
+    not there.
 
     A key with over `block_rows` items is dealt in tiles of two blocks, so that no task gathers it.
     """
@@ -266,8 +269,8 @@ def links(items: DataFrame, label: str, block_rows: int = BLOCK_ROWS) -> DataFra
     dealt = rows.select("key", F.lit(0).cast("long").alias("tile"), "print", "node")
     first = settle(dealt.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_linker(block_rows), linked),
                    f"{label}-links")
-    found = first.where("kind = 0")
-    hot = first.where("kind = 1").select(F.col("a").alias("key"), (F.floor(F.col("b") / block_rows) + 1).alias("blocks"))
+    found = first.where(F.col("kind") != OVER)
+    hot = first.where(F.col("kind") == OVER).select(F.col("a").alias("key"), (F.floor(F.col("b") / block_rows) + 1).alias("blocks"))
     if not hot.isEmpty():
         blocked = rows.join(hot, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
@@ -276,8 +279,8 @@ def links(items: DataFrame, label: str, block_rows: int = BLOCK_ROWS) -> DataFra
             "print", "node")
         more = settle(tiles.repartition("key", "tile").sortWithinPartitions("key", "tile", "node").mapInArrow(
             _linker(block_rows), linked), f"{label}-tiles")
-        found = found.unionByName(more.where("kind = 0"))
-    return found.select("a", "b").distinct()
+        found = found.unionByName(more.where(F.col("kind") != OVER))
+    return found.groupBy("a", "b").agg((F.max("kind") == SPANNING).alias("spanning"))
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
@@ -419,13 +422,14 @@ def _similar_in_runs(batches):
         yield found()
 
 
-def _in_long_runs(keyed: DataFrame, long_keys: DataFrame, found: DataFrame, confirmed: DataFrame) -> DataFrame:
-    """(a, b): similar pairs that connect whatever similar pairs of the long runs connect beyond the confirmed ones.
+def _in_long_runs(long_runs: DataFrame, found: DataFrame, confirmed: DataFrame) -> DataFrame:
+    """(a, b): similar pairs that connect whatever similar pairs of the long runs, (key, node), connect beyond the confirmed
+    ones.
 
     The rows of a run that the confirmed pairs have not made one group are compared by their texts where they meet.
     """
     groups = components(confirmed, "dedup-first")
-    members = settle(keyed.join(long_keys, "key").distinct().join(groups, "node", "left").join(
+    members = settle(long_runs.distinct().join(groups, "node", "left").join(
         found.select("node", F.octet_length("text").alias("bytes")), "node").select(
         "key", "node", F.coalesce("root", "node").alias("root"), "bytes"), "dedup-long")
     blocks = F.greatest(F.count("*") / OPEN_ROWS, F.sum("bytes") / OPEN_BYTES)
@@ -447,7 +451,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     them: a hash function's least value over two texts is the same with the chance of their similarity, wherever they
     differ, so a pair at 0.8 has no equal band of 32 with the chance (1 - 0.8 ** 5) ** 32, 3 in a million. Candidates of
     either kind are checked against the shingles of both whole texts. The groups are those of all candidate pairs, also
-    where so many texts have a band in common that not every pair is emitted.
+    where so many texts have a band or a chain in common that not every pair is emitted.
 
     Wordless texts are one group; a null text is as an empty one.
     """
@@ -467,8 +471,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = nodes.select(F.explode("keys").alias("key"), "node")
     runs = settle(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(
         _band_pairs, "kind long, a long, b long"), "dedup-runs")
-    chained = links(nodes.select("node", "print", F.lit(0).alias("family")), "dedup")
-    near = settle(runs.where("kind = 0 and a <> b").select("a", "b").unionByName(chained).distinct(), "dedup-candidates")
+    chained = settle(links(nodes.select("node", "print", F.lit(0).alias("family")), "dedup"), "dedup-chained")
+    near = settle(runs.where("kind = 0 and a <> b").select("a", "b").unionByName(chained.select("a", "b")).distinct(), "dedup-candidates")
 
     concerned = near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "text_key"), "node")
     found = settle(docs.select(text_key(text_col).alias("text_key"), F.col(text_col).alias("text")).join(
@@ -476,9 +480,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left, right = (found.select(F.col("node").alias(side), F.col("text").alias(f"text {side}")) for side in "ab")
     confirmed = near.join(left, "a").join(right, "b").select("a", "b", "text a", "text b").mapInArrow(_similar, "a long, b long")
     long_keys = runs.where("kind = 1").select(F.col("a").alias("key"))
-    if not long_keys.isEmpty():
+    long_runs = [] if long_keys.isEmpty() else [keyed.join(long_keys, "key")]
+    spanning = chained.where("spanning").select("a", "b")
+    if not spanning.isEmpty():
+        # Every pair that a spanning set stands for lies within what the set connects.
+        long_runs.append(components(spanning, "dedup-spanned").select(F.xxhash64(F.lit("spanned"), "root").alias("key"), "node"))
+    if long_runs:
         confirmed = settle(confirmed, "dedup-confirmed")
-        confirmed = confirmed.unionByName(settle(_in_long_runs(keyed, long_keys, found, confirmed), "dedup-unsettled"))
+        confirmed = confirmed.unionByName(settle(_in_long_runs(
+            functools.reduce(DataFrame.unionByName, long_runs), found, confirmed), "dedup-unsettled"))
 
     groups = components(confirmed, "dedup").withColumnRenamed("root", "group")
     winners = nodes.join(groups, "node", "left").groupBy(F.coalesce("group", "node").alias("group")).agg(
